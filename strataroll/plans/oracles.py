@@ -316,8 +316,8 @@ GROUP BY {keys}
 BY_NATION = """
 WITH registrations AS (
     SELECT n_name AS make, c_mktsegment AS model, CAST(year(o_orderdate) AS VARCHAR) AS model_year,
-           o_orderstatus AS state, o_orderpriority AS county, o_totalprice AS electric_range,
-           c_acctbal AS base_msrp
+           o_orderstatus AS state, o_orderpriority AS county, floor(o_totalprice) AS electric_range,
+           floor(c_acctbal) AS base_msrp
     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 )"""
 
@@ -336,7 +336,7 @@ WITH registrations AS (
                AS waofm_gis_legislative_district_boundary,
            CAST(date_trunc('year', l_shipdate) AS DATE) AS created_at,
            CASE WHEN l_linestatus = 'F' THEN CAST(date_trunc('year', l_shipdate) AS DATE) END AS updated_at,
-           l_quantity AS electric_range, l_extendedprice AS base_msrp
+           l_quantity AS electric_range, floor(l_extendedprice) AS base_msrp
     FROM lineitem
 )"""
 
@@ -347,7 +347,7 @@ ALL_KEYS = """make, model, model_year, city, county, electric_vehicle_type, stat
 SNAPSHOTS_TO_FACTS = f"""{HISTORY_TWO},
 registrations AS (
     SELECT status AS make, CAST(year(created_at) AS INTEGER) AS model_year, updated_at,
-           o_custkey AS electric_range, o_totalprice AS base_msrp
+           o_custkey AS electric_range, floor(o_totalprice) AS base_msrp
     FROM h2 WHERE is_current
 )
 {_aggregate("make, model_year, updated_at", "registrations", 2001)}"""

@@ -429,7 +429,11 @@ def curated_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def curated_aggregate_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as registrations: nation and segment are make and model, the order year is the year."""
+    """Orders as registrations: nation and segment are make and model, the order year is the year.
+
+    Measures are whole numbers here and below, as vehicle ranges and prices are. Their sums are
+    exact in doubles, so averages do not depend on the order in which tasks finish.
+    """
     customers = table(spark, sf_dir, "customer").join(
         table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
@@ -442,8 +446,8 @@ def curated_aggregate_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.year("o_orderdate").cast("string").alias("model_year"),
             F.col("o_orderstatus").alias("state"),
             F.col("o_orderpriority").alias("county"),
-            F.col("o_totalprice").alias("electric_range"),
-            F.col("c_acctbal").alias("base_msrp"),
+            F.floor("o_totalprice").alias("electric_range"),
+            F.floor("c_acctbal").alias("base_msrp"),
         )
     )
     keys = ["make", "model", "model_year", "state", "county"]
@@ -474,7 +478,7 @@ def line_registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.trunc(shipped, "year").alias("created_at"),
         F.when(F.col("l_linestatus") == "F", F.trunc(shipped, "year")).alias("updated_at"),
         F.col("l_quantity").alias("electric_range"),
-        F.col("l_extendedprice").alias("base_msrp"),
+        F.floor("l_extendedprice").alias("base_msrp"),
     )
 
 
@@ -505,7 +509,7 @@ def write_order_documents(spark: SparkSession, orders: DataFrame) -> str:
         "status",
         F.year("created_at"),
         "o_custkey",
-        "o_totalprice",
+        F.floor("o_totalprice"),
         epoch("created_at"),
         epoch("updated_at"),
     )
