@@ -97,18 +97,27 @@ def flatten_record_lines(
     columns: Mapping[str, str],
     *,
     keep_rejected: bool = False,
+    broadcast_catalog: bool = False,
 ) -> DataFrame:
     """As ``flatten``, for rows read line by line; ``docs`` supplies each file's catalogue.
 
-    The catalogue side has one short row per file. The join is left to Spark: it is broadcast while
-    that is small, and a file that holds much of the data is split by adaptive execution otherwise.
+    The catalogue side has one short row per file. Set ``broadcast_catalog`` if their number has
+    been checked (see ``catalog_bytes``): the rows are then not shuffled. Otherwise the join is left
+    to Spark, and adaptive execution splits a file that holds much of the data.
     """
     if not columns:
         raise ValueError("No columns are declared, so there is nothing to read")
     positions = docs.select("source_file", *_ordinals(columns))
+    if broadcast_catalog:
+        positions = F.broadcast(positions)
     return records.join(positions, "source_file").select(*_cells(columns, keep_rejected))
 
 
+def catalog_bytes(documents: int, columns: Mapping[str, str]) -> int:
+    """Generous size of the catalogue side of ``flatten_record_lines``: a path and the positions."""
+    return documents * (1024 + 8 * len(columns))
+
+
 def metadata(docs: DataFrame) -> DataFrame:
     """One row per document with its descriptive fields; times stay epoch seconds."""
     return docs.select(*[F.col(f"meta.view.{path}").alias(n) for path, n in METADATA_FIELDS.items()])

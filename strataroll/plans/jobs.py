@@ -18,6 +18,9 @@ from strataroll.sources import envelopes, versions
 
 log = logging.getLogger(__name__)
 
+# Largest side a job broadcasts by its own choice, in bytes.
+BROADCAST_LIMIT = 128 * 1024 * 1024
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -60,25 +63,36 @@ def refresh_history(
 
     Raw text is parsed twice, once per half: ``meta`` (skipping the rows) and ``data``. Both land
     as Parquet, and everything after reads that. All tables share one version and appear together:
-    ``documents, snapshot, quality, quarantine, metadata, approvals, history``.
+    ``documents, drift, snapshot, quality, quarantine, metadata, approvals, history``.
     """
     version = versions.next_version(spark, root)
-    raw = envelopes.read_envelopes(spark, raw_path, multi_line=settings.layout != "lines")
+    multi_line = settings.layout != "lines"
     tables: dict[str, DataFrame] = {}
 
     def land(name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         tables[name] = versions.write_version(df, root, name, version, partition_by)
         return tables[name]
 
-    docs = land("documents", raw.select("source_file", "meta"))
-    _check_columns(docs, settings, f"{root}/schema_log", logged_at or datetime.now())
+    docs = land("documents", envelopes.read_meta(spark, raw_path, multi_line=multi_line))
+    found = land("drift", drift.schema_drift(docs, list(settings.columns)))
+    _check_columns(found, settings, f"{root}/schema_log", logged_at or datetime.now())
 
     if settings.layout == "rows":
         records = envelopes.read_record_lines(spark, raw_path)
-        rows = flatten.flatten_record_lines(records, docs, settings.columns, keep_rejected=True)
+        size = flatten.catalog_bytes(docs.count(), settings.columns)
+        rows = flatten.flatten_record_lines(
+            records,
+            docs,
+            settings.columns,
+            keep_rejected=True,
+            broadcast_catalog=size <= BROADCAST_LIMIT,
+        )
     else:
+        raw = envelopes.read_envelopes(spark, raw_path, multi_line=multi_line)
         rows = flatten.flatten(raw, settings.columns, keep_rejected=True)
     snapshot = land("snapshot", rows)
+    if not drift.has_columns(snapshot, settings.columns):
+        log.warning("The snapshot has no rows")
 
     report = land(
         "quality",
@@ -106,8 +120,12 @@ def refresh_history(
     return version
 
 
-def _check_columns(docs: DataFrame, settings: Settings, log_path: str, logged_at: datetime) -> None:
-    found = drift.schema_drift(docs, list(settings.columns))
+def _check_columns(
+    found: DataFrame, settings: Settings, log_path: str, logged_at: datetime
+) -> None:
+    """Log missing columns, of which there are at most the declared ones, and gate new ones."""
+    for row in found.filter(F.col("status") == drift.MISSING).collect():
+        log.warning("Column %s is missing from %d documents", row.column_name, row.documents)
     line = drift.schema_gate(found, log_path, logged_at, on_new=settings.on_new_columns)
     if line:
         log.warning(line)

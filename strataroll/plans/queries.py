@@ -125,7 +125,7 @@ def record_line_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     row = record("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate")
     items.select(F.concat(F.lit(", "), F.to_json(row)).alias("value")).write.text(path)
     records = envelopes.read_record_lines(spark, path)
-    files = records.select("source_file").distinct()
+    files = spark.read.text(path).select(F.col("_metadata.file_path").alias("source_file")).distinct()
     columns = catalog(("o", "Order"), ("n", "Line"), ("q", "Quantity"), ("f", "Flag"))
     docs = documents(files, columns, F.lit(None), keep=("source_file",))
     declared = {"Flag": "string", "Line": "int", "Order": "bigint", "Quantity": "double"}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Read schema. Fields a document lacks read as null. Every cell is text: one row mixes types.
@@ -30,24 +30,38 @@ META_SCHEMA = f"meta struct<view: {VIEW_SCHEMA}>"
 ENVELOPE_SCHEMA = f"{META_SCHEMA}, data array<array<string>>"
 
 
+def _source_file() -> Column:
+    return F.col("_metadata.file_path").alias("source_file")
+
+
 def read_envelopes(
     spark: SparkSession, path: str, *, multi_line: bool = True, mode: str = "FAILFAST"
 ) -> DataFrame:
     """One row per document: ``meta``, ``data`` and the ``source_file`` it came from.
 
-    The schema is given, so there is no inference pass, and a query that uses only ``meta`` skips
-    over ``data`` while parsing. With ``multi_line`` a file is one document and one task; without
-    it every line is a document and large files are split. Spark reads only the first document of
-    a file of JSON lines under ``multi_line``, so the argument must match the files. A document
-    that does not parse stops the read; pass ``mode="PERMISSIVE"`` to get nulls instead.
+    The schema is given, so there is no inference pass. With ``multi_line`` a file is one document
+    and one task; without it every line is a document and large files are split. A document that
+    does not parse stops the read; pass ``mode="PERMISSIVE"`` to get nulls instead.
+
+    Documents are read as text and parsed from memory. Spark's multi-line JSON source keeps the
+    exact text of numbers and nested values by going back to the file for each of them, which is
+    one storage request per cell. Here such cells come out in JSON's plain form: ``1.10`` as ``1.1``.
     """
-    docs = (
-        spark.read.schema(ENVELOPE_SCHEMA)
-        .option("multiLine", multi_line)
-        .option("mode", mode)
-        .json(path)
-    )
-    return docs.select("meta", "data", F.col("_metadata.file_path").alias("source_file"))
+    document = F.from_json("value", ENVELOPE_SCHEMA, {"mode": mode}).alias("document")
+    texts = spark.read.text(path, wholetext=multi_line).filter(F.trim("value") != "")
+    return texts.select(document, _source_file()).select("document.*", "source_file")
+
+
+def read_meta(
+    spark: SparkSession, path: str, *, multi_line: bool = True, mode: str = "FAILFAST"
+) -> DataFrame:
+    """As ``read_envelopes`` without ``data``, whose rows are skipped over and not held in memory.
+
+    Spark reads only the first document of a file of JSON lines under ``multi_line``, so the
+    argument must match the files.
+    """
+    reader = spark.read.schema(META_SCHEMA).option("multiLine", multi_line).option("mode", mode)
+    return reader.json(path).select("meta", _source_file())
 
 
 def read_record_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -64,22 +78,29 @@ def read_record_lines(spark: SparkSession, path: str) -> DataFrame:
     row broken over lines, or ``data`` opened inside another line, raises an error. No line of
     ``meta`` may start with an opening bracket.
     """
-    line = F.trim(F.regexp_replace("value", r"\s+$", ""))
-    opens_data = line.rlike(r'^"data"\s*:\s*\[')
-    is_rows = opens_data | line.rlike(r"^,?\s*\[")
-    hides_data = line.rlike(r'(?<!\\)"data"\s*:\s*\[') & ~opens_data
-    rows_text = F.regexp_replace(line, r'^("data"\s*:\s*\[)?\s*,?|,$', "")
-    # The added brackets make every line an array of rows; what follows the closing one is the
-    # document's own tail and is not parsed.
+    opens_data = r'^"data"\s*:\s*\['
+    lines = spark.read.text(path).select(
+        _source_file(), F.rtrim(F.expr("trim(LEADING ', \t' FROM value)")).alias("line")
+    )
+    line = F.col("line")
+    # Null for lines that are no data rows.
+    rows_text = F.when(line.startswith("["), line).when(
+        line.startswith('"') & line.rlike(opens_data), F.regexp_replace(line, opens_data, "")
+    )
+    # Closing the array makes every line an array of rows, with a null after a trailing comma. What
+    # follows the closing bracket is the document's own tail and is not parsed.
+    closing = F.when(line.endswith(","), "null]").otherwise("]")
     rows = F.from_json(
-        F.concat(F.lit("["), rows_text, F.lit("]")), "array<array<string>>", {"mode": "FAILFAST"}
+        F.concat(F.lit("["), F.col("rows_text"), closing), "array<array<string>>", {"mode": "FAILFAST"}
     )
+    hides_data = F.col("rows_text").isNull() & line.rlike(r'(?<!\\)"data"\s*:\s*\[')
     broken = F.raise_error(F.lit("A document does not keep its data rows on lines of their own"))
     return (
-        spark.read.text(path)
+        lines.select("source_file", "line", rows_text.alias("rows_text"))
         .select(
-            F.col("_metadata.file_path").alias("source_file"),
-            F.when(hides_data, broken.cast("array<array<string>>")).when(is_rows, rows).alias("rows"),
+            "source_file",
+            F.when(hides_data, broken.cast("array<array<string>>")).otherwise(rows).alias("rows"),
         )
         .select("source_file", F.explode("rows").alias("record"))
+        .filter(F.col("record").isNotNull())
     )

@@ -117,6 +117,23 @@ def test_other_row_layouts(spark, tmp_path):
     assert rows(fl.flatten_record_lines(records, docs, COLUMNS)) == sorted(FLAT, key=repr)
 
 
+def test_cell_text_is_the_same_in_every_layout(spark, tmp_path):
+    cells = '[ 1.10, 1E+3, {"a" : [ 1 ]}, true, 12345678901234567890, "1.10" ]'
+    names = "abcdef"
+    meta = json.dumps(document(None, [{"fieldName": n, "name": n} for n in names])["meta"])
+    text = '{"meta":\n' + meta + ',\n"data":[\n' + cells + "\n]}"
+    path = write(tmp_path, "a.json", text)
+    declared = {n: "string" for n in names}
+    plain = [("1.1", "1000.0", '{"a":[1]}', "true", "12345678901234567890", "1.10")]
+    docs = env.read_envelopes(spark, path)
+    assert rows(fl.flatten(docs, declared)) == plain
+    assert rows(fl.flatten_record_lines(env.read_record_lines(spark, path), docs, declared)) == plain
+    (tmp_path / "lines").mkdir()
+    path = write(tmp_path / "lines", "a.json", text.replace("\n", " ") + "\n\n")
+    docs = env.read_envelopes(spark, path, multi_line=False)
+    assert docs.count() == 1 and rows(fl.flatten(docs, declared)) == plain
+
+
 @pytest.mark.parametrize("text", [
     json.dumps(document(DATA)),
     json.dumps(document(DATA), indent=1),
@@ -144,6 +161,8 @@ def test_metadata_and_approvals(spark, tmp_path):
     write(tmp_path, "a.json", json.dumps(full))
     write(tmp_path, "b.json", json.dumps(document([], id="d2")))
     docs = env.read_envelopes(spark, write(tmp_path, "c.json", json.dumps(document([], id="d3", approvals=None))))
+    assert rows(fl.metadata(env.read_meta(spark, str(tmp_path)))) == rows(fl.metadata(docs))
+    assert rows(fl.approvals(env.read_meta(spark, str(tmp_path)))) == rows(fl.approvals(docs))
     assert rows(fl.metadata(docs)) == [
         ("d1", "N", "D", "O", ["t"], 1, 2),
         ("d2", None, None, None, None, None, None),
@@ -199,5 +218,5 @@ def test_has_columns(spark):
 
 def test_metadata_query_does_not_parse_rows(spark, tmp_path):
     path = write(tmp_path, "a.json", json.dumps(document(DATA)))
-    plan = fl.metadata(env.read_envelopes(spark, path))._jdf.queryExecution().executedPlan().toString()
+    plan = fl.metadata(env.read_meta(spark, path))._jdf.queryExecution().executedPlan().toString()
     assert "data:array" not in plan.split("ReadSchema")[1]

@@ -72,6 +72,8 @@ def test_two_snapshots(spark, tmp_path, layout, small_source):
 
     quarantine = v.read_table(spark, root, "quarantine")
     assert [r["DOL Vehicle ID"] for r in quarantine.collect()] == [None]
+    found = [tuple(r)[:2] for r in v.read_table(spark, root, "drift").collect()]
+    assert found == [("extra", "new")]
     assert v.read_table(spark, root, "metadata").distinct().count() == 1
     assert v.read_table(spark, root, "approvals").distinct().first().state == "approved"
     failed = v.read_table(spark, root, "quality").filter("not passed").collect()
