@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,13 +37,17 @@ APPROVAL_FIELDS = {
 }
 
 
-def column_catalog(docs: DataFrame, *keep: str) -> DataFrame:
+def column_catalog(
+    docs: DataFrame, *keep: str, allowed: Collection[str] | None = None
+) -> DataFrame:
     """One row per described column: ``ordinal`` (position in each data row), ``field_name``, ``name``.
 
-    Ordinals count every entry; entries without a field name are not data columns and are left out.
-    ``keep`` names document columns to carry along.
+    Ordinals count every entry; entries without a field name are not data columns and are left out,
+    as are names that are not ``allowed``. ``keep`` names document columns to carry along.
     """
     entries = docs.select(*map(named, keep), F.posexplode("meta.view.columns").alias("ordinal", "entry"))
+    if allowed is not None:
+        entries = entries.filter(F.col("entry.name").isin(list(allowed)))
     return entries.filter("entry.fieldName IS NOT NULL").select(
         *map(named, keep),
         "ordinal",

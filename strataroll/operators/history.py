@@ -94,21 +94,16 @@ def adopt(
 ) -> DataFrame:
     """Bring a table from elsewhere into history form: tracked, one current row per key.
 
-    The newest current row of a key stays current and the others are closed as of ``as_of``. Closed
-    rows are not shuffled; the current rows of a key are sorted and ranked, which spills to disk.
+    The newest current row of a key stays current and the others are closed as of ``as_of``. The
+    others are found by taking the newest rows away from all rows, which spreads a key with many
+    rows over the cluster; closed rows are not shuffled.
     """
     healed = heal_tracking(table, as_of)
-    usable = F.col(IS_CURRENT) & named(key).isNotNull()
-    rank = F.row_number().over(_newest_first(healed, key, change_columns))
-    ranked = healed.filter(usable).withColumn("_rank", rank)
-    older = F.col("_rank") > 1
-    settled = ranked.withColumns(
-        {
-            IS_CURRENT: ~older,
-            VALID_TO: F.when(older, _as_date(as_of)).otherwise(F.col(VALID_TO)),
-        }
-    ).drop("_rank")
-    return settled.unionByName(healed.filter(_bypasses_merge(key)))
+    usable = healed.filter(F.col(IS_CURRENT) & named(key).isNotNull())
+    newest = latest_per_key(usable, key, change_columns)
+    closed = {IS_CURRENT: F.lit(False), VALID_TO: _as_date(as_of)}
+    older = usable.exceptAll(newest).withColumns(closed)
+    return newest.unionByName(older).unionByName(healed.filter(_bypasses_merge(key)))
 
 
 def _bypasses_merge(key: str) -> Column:

@@ -354,6 +354,7 @@ registrations AS (
 
 ORACLES: dict[str, str] = {
     "column_catalog": COLUMN_CATALOG,
+    "allowed_columns": f"{COLUMN_CATALOG} WHERE name <> 'id'",
     "envelope_flatten": ENVELOPE_FLATTEN,
     "envelope_flatten_mixed": ENVELOPE_FLATTEN_MIXED,
     "document_files": ENVELOPE_FLATTEN,

@@ -92,6 +92,10 @@ def column_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten.column_catalog(part_documents(spark, sf_dir), "p_partkey")
 
 
+def allowed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatten.column_catalog(part_documents(spark, sf_dir), "p_partkey", allowed=PART_COLUMNS)
+
+
 def envelope_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten.flatten(part_documents(spark, sf_dir), PART_COLUMNS)
 
@@ -541,6 +545,7 @@ def snapshots_to_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "column_catalog": column_catalog,
+    "allowed_columns": allowed_columns,
     "envelope_flatten": envelope_flatten,
     "envelope_flatten_mixed": envelope_flatten_mixed,
     "document_files": document_files,

@@ -42,9 +42,16 @@ def if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
 
 
 def commits(spark: SparkSession, root: str) -> list[Row]:
-    """Commit records, oldest first. The list grows by one short record per run."""
-    found = if_present(lambda: spark.read.schema(COMMIT_SCHEMA).json(f"{root}/{COMMITS}"))
-    return [] if found is None else sorted(found.collect(), key=lambda r: r.version)
+    """``version, as_of, tables`` (names) of each commit, oldest first: a short row per run."""
+    found = if_present(lambda: _records(spark, root))
+    if found is None:
+        return []
+    names = found.select("version", "as_of", F.map_keys("tables").alias("tables"))
+    return sorted(names.collect(), key=lambda r: r.version)
+
+
+def _records(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(COMMIT_SCHEMA).json(f"{root}/{COMMITS}")
 
 
 def next_version(spark: SparkSession, root: str) -> int:
@@ -74,8 +81,10 @@ def commit(
     row.coalesce(1).write.mode("append").json(f"{root}/{COMMITS}")
 
 
-def _schema(record: Row, table: str) -> T.StructType:
-    return T.StructType.fromJson(json.loads(record.tables[table]))
+def _schema(spark: SparkSession, root: str, table: str, version: int) -> T.StructType:
+    record = _records(spark, root).filter(F.col("version") == version)
+    text = record.select(F.col("tables")[table].alias("schema")).first()["schema"]
+    return T.StructType.fromJson(json.loads(text))
 
 
 def _read(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
@@ -88,7 +97,7 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame | None:
     for record in reversed(commits(spark, root)):
         if table in record.tables:
             path = version_path(root, table, record.version)
-            return _read(spark, _schema(record, table), path)
+            return _read(spark, _schema(spark, root, table, record.version), path)
     return None
 
 
@@ -108,7 +117,7 @@ def read_history(spark: SparkSession, root: str) -> DataFrame | None:
     if not written:
         return None
     latest = written[-1]
-    schema = _schema(latest, HISTORY)
+    schema = _schema(spark, root, HISTORY, latest.version)
     paths = [version_path(root, HISTORY, r.version) for r in written]
     everything = (
         spark.read.schema(T.StructType([*schema, T.StructField("v", T.IntegerType())]))

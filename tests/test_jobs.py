@@ -102,8 +102,9 @@ def test_closed_rows_are_written_once(spark, tmp_path):
     assert v.read_history(spark, root).count() == 4
     read = v.read_current(spark, root)
     assert read.filter("is_current").count() == 2
-    files = [f for f in read.inputFiles()]
-    assert all("/v=3/" in f for f in files)
+    assert all("/v=3/" in f for f in read.inputFiles())
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(is_current" in plan
 
 
 def test_failed_run_keeps_the_last_version(spark, tmp_path, monkeypatch):
