@@ -103,13 +103,20 @@ def adopt(
     newest = latest_per_key(usable, key, change_columns)
     closed = {IS_CURRENT: F.lit(False), VALID_TO: _as_date(as_of)}
     older = usable.exceptAll(newest).withColumns(closed)
-    return newest.unionByName(older).unionByName(healed.filter(_bypasses_merge(key)))
+    return _with_bypassing(newest.unionByName(older), healed, key)
 
 
-def _bypasses_merge(key: str) -> Column:
-    """History rows no snapshot row can touch; written so that Parquet can filter on it."""
+def _with_bypassing(rows: DataFrame, history: DataFrame, key: str) -> DataFrame:
+    """Add the history rows no snapshot row can touch: closed ones and current ones without a key.
+
+    Two plain filters, so that folders or Parquet statistics rule out what is not needed.
+    """
     flag = F.col(IS_CURRENT)
-    return flag.isNull() | ~flag | named(key).isNull()
+    closed = history.filter(flag.isNull() | ~flag)
+    keyless = history.filter(flag & named(key).isNull())
+    return rows.unionByName(closed, allowMissingColumns=True).unionByName(
+        keyless, allowMissingColumns=True
+    )
 
 
 def _newer(change_columns: Sequence[str]) -> Column:
@@ -240,7 +247,7 @@ def scd2_merge(
     current = history.filter(F.col(IS_CURRENT) & named(key).isNotNull())
     merge = merge_delta if small_source else merge_current
     merged = merge(source, current, key, change_columns, as_of)
-    return merged.unionByName(history.filter(_bypasses_merge(key)), allowMissingColumns=True)
+    return _with_bypassing(merged, history, key)
 
 
 def _matched(
