@@ -29,6 +29,7 @@ from strataroll.functions.names import named
 COMMITS = "commits"
 COMMIT_SCHEMA = "version int, as_of string, tables map<string, string>"
 HISTORY = "history"
+VERSION = "v"
 
 
 def if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
@@ -60,13 +61,15 @@ def next_version(spark: SparkSession, root: str) -> int:
 
 
 def version_path(root: str, table: str, version: int) -> str:
-    return f"{root}/{table}/v={version}"
+    return f"{root}/{table}/{VERSION}={version}"
 
 
 def write_version(
     df: DataFrame, root: str, table: str, version: int, partition_by: Iterable[str] = ()
 ) -> DataFrame:
     """Write one table of a version that is not committed yet and return it read back."""
+    if VERSION in map(str.lower, df.columns):
+        raise ValueError(f"A column named {VERSION!r} would be taken for the version folder")
     path = version_path(root, table, version)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return _read(df.sparkSession, df.schema, path)
@@ -120,9 +123,9 @@ def read_history(spark: SparkSession, root: str) -> DataFrame | None:
     schema = _schema(spark, root, HISTORY, latest.version)
     paths = [version_path(root, HISTORY, r.version) for r in written]
     everything = (
-        spark.read.schema(T.StructType([*schema, T.StructField("v", T.IntegerType())]))
+        spark.read.schema(T.StructType([*schema, T.StructField(VERSION, T.IntegerType())]))
         .option("basePath", f"{root}/{HISTORY}")
         .parquet(*paths)
     )
-    kept = everything.filter(~F.col("is_current") | (F.col("v") == latest.version))
+    kept = everything.filter(~F.col("is_current") | (F.col(VERSION) == latest.version))
     return kept.select(*map(named, schema.names))

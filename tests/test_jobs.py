@@ -175,6 +175,11 @@ def test_only_a_missing_path_means_no_history(spark, tmp_path):
         v.if_present(lambda: spark.table("nowhere"))
 
 
+def test_version_folder_is_not_a_column(spark, tmp_path):
+    with pytest.raises(ValueError, match="'v'"):
+        v.write_version(spark.createDataFrame([(1,)], "V int"), str(tmp_path), "t", 1)
+
+
 def test_allowed_columns(tmp_path):
     good = tmp_path / "c.json"
     good.write_text('{"allowed_columns": ["Make", "Model Year", "Battery Type"]}')
