@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataroll.llm import secrets, token_counts
+from strataroll.llm import mixing, quality, secret_scan, token_counts
 from strataroll.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan_secrets(table(spark, sf_dir, "documents"))
+    return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,5 +26,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), path("piece_bpe_32k.model"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op6_secret_scan, op9_token_counts)}
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f for f in (op4_source_mix, op6_secret_scan, op9_token_counts, op10_quality)
+}
 ORACLES: dict[str, str] = {}
