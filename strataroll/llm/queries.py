@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataroll.llm import mixing, quality, secret_scan, simhash, token_counts
+from strataroll.llm import mixing, quality, secret_scan, simhash, substring_dedup, token_counts
 from strataroll.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,6 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op3_simhash, op4_source_mix, op6_secret_scan, op9_token_counts, op10_quality)
+    f.__name__: f for f in (op2_substring_dedup, op3_simhash, op4_source_mix, op6_secret_scan, op9_token_counts, op10_quality)
 }
 ORACLES: dict[str, str] = {}
