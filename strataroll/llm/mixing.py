@@ -13,6 +13,7 @@ from collections.abc import Mapping
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -118,6 +119,13 @@ def plan_mix(totals: list, seed: int = SEED) -> tuple[list[tuple], np.ndarray]:
     return rows, draw_counts(np.array([r[5] for r in rows], np.int64), SHARD_BLOCKS, seed)
 
 
+def small_table(spark, rows: list[tuple], names: list[str], types: list[pa.DataType]) -> DataFrame:
+    """Rows made on the driver, as a relation of known size: Spark decides by it what to broadcast."""
+    columns = zip(*rows, strict=True) if rows else [[] for _ in names]
+    arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+    return spark.createDataFrame(pa.table(dict(zip(names, arrays, strict=True))))
+
+
 def mix_blocks(spark, rows: list[tuple], draws: np.ndarray, seed: int = SEED) -> DataFrame:
     """The mix as ``shard, slot, source_no, block``: each slot of each shard names a block.
 
@@ -131,10 +139,10 @@ def mix_blocks(spark, rows: list[tuple], draws: np.ndarray, seed: int = SEED) ->
         for i in range(len(rows))
         if draws[s, i]
     ]
-    schema = "shard int, source_no int, n bigint, first bigint, first_slot bigint, blocks bigint"
+    names = ["shard", "source_no", "n", "first", "first_slot", "blocks"]
     spans = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(4096).cast("bigint")))
     # Explode in two steps, with a shuffle between, so that large counts spread over the tasks.
-    runs = spark.createDataFrame(counts, schema).select("*", spans.alias("run"))
+    runs = small_table(spark, counts, names, [pa.int32(), pa.int32(), *[pa.int64()] * 4]).select("*", spans.alias("run"))
     runs = runs.repartition("shard", "source_no", "run")
     last = F.least(F.col("run") + 4095, F.col("n") - 1)
     slots = runs.select("*", F.explode(F.sequence("run", last)).alias("k")).select(
@@ -187,11 +195,9 @@ def _prepared(base: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = base.sparkSession
     totals = base.groupBy("source").agg(F.count("*").alias("docs"), F.sum("size").alias("size"))
     rows, draws = plan_mix(totals.collect())
-    schema = (
-        "source_no int, source string, source_size bigint, target double, blocks bigint,"
-        " wanted bigint, pieces bigint"
-    )
-    return spark.createDataFrame(rows, schema), mix_blocks(spark, rows, draws)
+    names = ["source_no", "source", "source_size", "target", "blocks", "wanted", "pieces"]
+    types = [pa.int32(), pa.string(), pa.int64(), pa.float64(), *[pa.int64()] * 3]
+    return small_table(spark, rows, names, types), mix_blocks(spark, rows, draws)
 
 
 def mix_documents(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
