@@ -27,6 +27,8 @@ SHARD_BLOCKS = 1 << 16
 PIECE_DOCS = 4096
 WEIGHTS = (5, 2, 1)
 SHARE, MOST = 1.5, 2.0
+#: Blocks of the mix that a task makes about.
+TASK_BLOCKS = 250_000
 SEED = 11
 
 
@@ -143,7 +145,8 @@ def mix_blocks(spark, rows: list[tuple], draws: np.ndarray, seed: int = SEED) ->
     spans = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(4096).cast("bigint")))
     # Explode in two steps, with a shuffle between, so that large counts spread over the tasks.
     runs = small_table(spark, counts, names, [pa.int32(), pa.int32(), *[pa.int64()] * 4]).select("*", spans.alias("run"))
-    runs = runs.repartition("shard", "source_no", "run")
+    tasks = 1 + int(draws.sum()) // TASK_BLOCKS
+    runs = runs.repartition(tasks, "shard", "source_no", "run")
     last = F.least(F.col("run") + 4095, F.col("n") - 1)
     slots = runs.select("*", F.explode(F.sequence("run", last)).alias("k")).select(
         "shard",
@@ -197,7 +200,8 @@ def _prepared(base: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows, draws = plan_mix(totals.collect())
     names = ["source_no", "source", "source_size", "target", "blocks", "wanted", "pieces"]
     types = [pa.int32(), pa.string(), pa.int64(), pa.float64(), *[pa.int64()] * 3]
-    return small_table(spark, rows, names, types), mix_blocks(spark, rows, draws)
+    # Written, as Spark can't foresee how many rows the counts stand for, and would broadcast them.
+    return small_table(spark, rows, names, types), saved(mix_blocks(spark, rows, draws), "mix-blocks")
 
 
 def mix_documents(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
