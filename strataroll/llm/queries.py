@@ -6,12 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataroll.llm import mixing, quality, secret_scan, simhash, substring_dedup, token_counts
-from strataroll.llm.common import table
+from strataroll.llm import mixing, quality, secret_scan, simhash, substring_dedup, token_counts, top_k, warc
+from strataroll.llm.common import saved, scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "warc")
+    warc.write_captures(table(spark, sf_dir, "pages"), path)
+    records = saved(warc.read_records(spark, path, with_payload=False), "warc-records")
+    return warc.capture_digests(warc.assemble(records))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
 
@@ -24,6 +31,10 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -39,6 +50,16 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_substring_dedup, op3_simhash, op4_source_mix, op6_secret_scan, op9_token_counts, op10_quality)
+    f.__name__: f
+    for f in (
+        op1_warc,
+        op2_substring_dedup,
+        op3_simhash,
+        op4_source_mix,
+        op5_top_k,
+        op6_secret_scan,
+        op9_token_counts,
+        op10_quality,
+    )
 }
 ORACLES: dict[str, str] = {}
