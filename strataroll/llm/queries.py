@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataroll.llm import mixing, quality, secret_scan, simhash, substring_dedup, token_counts, top_k, warc
+from strataroll.llm import (
+    decontamination,
+    mixing,
+    personal_data,
+    quality,
+    secret_scan,
+    simhash,
+    substring_dedup,
+    token_counts,
+    top_k,
+    warc,
+)
 from strataroll.llm.common import saved, scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +50,15 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontamination.find_benchmark(docs, benchmark)
+
+
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import path
 
@@ -58,6 +78,8 @@ QUERIES: dict[str, Query] = {
         op4_source_mix,
         op5_top_k,
         op6_secret_scan,
+        op7_decontamination,
+        op8_personal_data,
         op9_token_counts,
         op10_quality,
     )
