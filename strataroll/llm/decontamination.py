@@ -23,13 +23,15 @@ SEGMENT, STEP = 100, 50
 LEAST_BYTES = 30
 #: Bytes of items that are searched for in one pass and sent to the executors; more take more passes.
 PASS_BYTES = 1 << 20
-#: Upper case and white space do not tell texts apart.
+#: White space of any kind is one, as is upper and lower case.
 _FOLD = bytes(32 if b in b"\t\n\v\f\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
 HASH = np.uint64(0x9E3779B97F4A7C15)
 
 
 def folded(text: str) -> bytes:
-    return text.encode().translate(_FOLD)
+    """Bytes in the places of the text's own; if lower case took others, only ASCII is folded."""
+    data, lower = text.encode(), text.lower().encode()
+    return (lower if len(lower) == len(data) else data).translate(_FOLD)
 
 
 def grams(data: bytes) -> np.ndarray:
