@@ -81,12 +81,13 @@ class Index:
         # Places with enough hits of any segment within the longest reach to either side.
         if len(hits) < self.fewest or not self.parts:
             return
-        right = np.searchsorted(hits, hits + self.widest, "right") - np.arange(len(hits))
-        reach = np.zeros(len(code) + self.widest + 2, np.int32)
-        starts = hits[right >= self.fewest]
-        np.add.at(reach, starts, 1)
-        np.add.at(reach, np.minimum(starts + self.widest + 1, len(reach) - 1), -1)
-        hits = hits[np.cumsum(reach)[hits] > 0]
+        m = max(1, self.fewest)
+        starts = np.flatnonzero(hits[m - 1 :] - hits[: len(hits) - m + 1] <= self.widest)
+        if not len(starts):
+            return
+        ends = np.searchsorted(hits, hits[starts] + self.widest, "right")
+        reach = np.bincount(starts, minlength=len(hits) + 1) - np.bincount(ends, minlength=len(hits) + 1)
+        hits = hits[np.cumsum(reach)[:-1] > 0]
         first = np.searchsorted(self.code, code[hits], "left")
         n = np.searchsorted(self.code, code[hits], "right") - first
         if not n.sum():
@@ -94,13 +95,21 @@ class Index:
         at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
         part, diagonal = self.part[at], np.repeat(hits, n) - self.place[at]
         width = self.edits[part] + 1
-        band = diagonal // width  # a band holds two steps, so any range of one width is in one
-        keys = np.concatenate([np.column_stack([part, band]), np.column_stack([part, band - 1])])
-        keys, count = np.unique(keys, axis=0, return_counts=True)
+        band = diagonal // width + SEGMENT  # a band holds two steps, so any range of one width is in one
+        both = np.concatenate([band, band - 1]) + (np.concatenate([part, part]) << 40)
+        keys, count = np.unique(both, return_counts=True)
+        enough = count >= self.least[keys >> 40]
+        keys = keys[enough][np.argsort(-count[enough], kind="stable")]
+        exact: dict[int, list[int]] = {}
         done: set[tuple[int, int]] = set()
-        for p, b in keys[count >= self.least[keys[:, 0]]].tolist():
+        for p, b in zip((keys >> 40).tolist(), ((keys & ((1 << 40) - 1)) - SEGMENT).tolist(), strict=True):
             e, segment = int(self.edits[p]), self.parts[p][1]
-            found = align(segment, data, b * (e + 1), (b + 2) * (e + 1) - 1, e)
+            low, high = b * (e + 1), (b + 2) * (e + 1) - 1
+            if any(low - e <= place <= high + e for place in exact.get(p, ())):
+                continue  # the band is beside a match without edits, of the same place
+            found = align(segment, data, low, high, e)
+            if found and not found[2]:
+                exact.setdefault(p, []).append(found[0])
             if found and (p, found[1]) not in done:
                 done.add((p, found[1]))
                 yield self.parts[p][0], *found
