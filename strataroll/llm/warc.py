@@ -238,6 +238,6 @@ def capture_digests(captures: DataFrame) -> DataFrame:
     """
     stated = F.get(F.col("metadata"), F.lit(0))["fields"]["page-id"]
     return captures.select(
-        stated.cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        stated.try_cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         page_of(F.col("refers_to")).alias("refers_to"),
     )
