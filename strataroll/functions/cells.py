@@ -9,6 +9,7 @@ SECONDS_PER_DAY = 86400
 
 # Declared type name for columns that arrive as epoch seconds and leave as dates.
 EPOCH_DATE = "epoch_date"
+WHOLE = ("tinyint", "smallint", "int", "integer", "bigint", "long")
 
 
 def epoch_to_date(seconds: Column) -> Column:
@@ -18,12 +19,20 @@ def epoch_to_date(seconds: Column) -> Column:
     before 1970 fall on their own day. The double division is exact enough for every day number
     that fits an int; anything beyond becomes null.
     """
-    days = F.floor(seconds.try_cast("bigint") / F.lit(SECONDS_PER_DAY))
+    days = F.floor(whole_number(seconds, "bigint") / F.lit(SECONDS_PER_DAY))
     return F.date_from_unix_date(days.try_cast("int"))
 
 
+def whole_number(cell: Column, type_name: str) -> Column:
+    """A whole number in any spelling, such as ``75``, ``75.0`` or ``1.7E9``; null if it is none."""
+    number = cell.try_cast("decimal(38,6)")
+    return F.coalesce(cell.try_cast(type_name), F.when(number == F.floor(number), number.try_cast(type_name)))
+
+
 def typed(cell: Column, type_name: str) -> Column:
     """A text cell as its declared type; ``epoch_date`` or any Spark type name."""
     if type_name == EPOCH_DATE:
         return epoch_to_date(cell)
+    if type_name in WHOLE:
+        return whole_number(cell, type_name)
     return cell if type_name == "string" else cell.try_cast(type_name)

@@ -54,7 +54,7 @@ def aggregate_fact(
     """
     if year not in keys:
         raise ValueError(f"{year!r} must be one of the grouping columns")
-    age = F.lit(as_of.year) - named(year).try_cast("int")
+    age = (F.lit(as_of.year) - named(year).try_cast("int").cast("bigint")).try_cast("int")
     range_value, price_value = named(electric_range).try_cast("double"), named(price).try_cast("double")
     groups = (
         current.filter(age >= 0)

@@ -89,9 +89,11 @@ def flatten(
     """
     if not columns:
         raise ValueError("No columns are declared, so there is nothing to read")
+    # The outer generator implies no filter on the array, which would parse each document again.
     rows = docs.select("data", *_ordinals(columns)).select(
-        F.explode("data").alias("record"), *[f"_at{i}" for i in range(len(columns))]
+        F.posexplode_outer("data").alias("_row", "record"), *[f"_at{i}" for i in range(len(columns))]
     )
+    rows = rows.filter(F.col("_row").isNotNull())
     return rows.select(*_cells(columns, keep_rejected))
 
 

@@ -65,7 +65,10 @@ def refresh_history(
     as Parquet, and everything after reads that. All tables share one version and appear together:
     ``documents, drift, snapshot, quality, quarantine, metadata, approvals, history``.
     """
-    version = versions.next_version(spark, root)
+    done = versions.commits(spark, root)
+    if done and as_of.isoformat() < done[-1].as_of:
+        raise ValueError(f"{as_of} is before the last version, of {done[-1].as_of}")
+    version = done[-1].version + 1 if done else 1
     multi_line = settings.layout != "lines"
     tables: dict[str, DataFrame] = {}
 
@@ -73,7 +76,7 @@ def refresh_history(
         tables[name] = versions.write_version(df, root, name, version, partition_by)
         return tables[name]
 
-    docs = land("documents", envelopes.read_meta(spark, raw_path, multi_line=multi_line))
+    docs = land("documents", envelopes.read_meta(spark, raw_path, multi_line=multi_line, streamed=settings.layout == "rows"))
     found = land("drift", drift.schema_drift(docs, list(settings.columns)))
     _check_columns(found, settings, f"{root}/schema_log", logged_at or datetime.now())
 

@@ -43,25 +43,49 @@ def read_envelopes(
     and one task; without it every line is a document and large files are split. A document that
     does not parse stops the read; pass ``mode="PERMISSIVE"`` to get nulls instead.
 
+    A file of ``multi_line`` holds one document: a second one, or other text after it, raises an
+    error. Its text is one value, so it is limited to 2 GB. Numbers with a fraction pass through a double
+    and lose digits beyond its precision, also for ``decimal`` columns.
+
     Documents are read as text and parsed from memory. Spark's multi-line JSON source keeps the
     exact text of numbers and nested values by going back to the file for each of them, which is
     one storage request per cell. Here such cells come out in JSON's plain form: ``1.10`` as ``1.1``.
     """
-    document = F.from_json("value", ENVELOPE_SCHEMA, {"mode": mode}).alias("document")
+    return _documents(spark, path, multi_line, ENVELOPE_SCHEMA, mode)
+
+
+def _documents(spark: SparkSession, path: str, multi_line: bool, schema: str, mode: str) -> DataFrame:
+    """Each text parsed as an array of one document, so that text after the document is an error.
+
+    Only text that begins with a closing bracket and ends with a brace can pass for the end of that array.
+    The outer generator implies no filter, so each text is parsed once.
+    """
     texts = spark.read.text(path, wholetext=multi_line).filter(F.trim("value") != "")
-    return texts.select(document, _source_file()).select("document.*", "source_file")
+    ended = F.rtrim(F.translate("value", "\t\r\n", "   ")).endswith("}")
+    broken = F.raise_error(F.lit("A document is followed by other text")) if mode == "FAILFAST" else F.lit(None)
+    wrapped = F.when(ended, F.concat(F.lit("["), F.col("value"), F.lit("]"))).otherwise(broken.cast("string"))
+    parsed = F.from_json(wrapped, f"array<struct<{_typed(schema)}>>", {"mode": mode})
+    each = texts.select(F.posexplode_outer(parsed).alias("at", "document"), _source_file())
+    return each.select("document.*", "source_file")
+
+
+def _typed(schema: str) -> str:
+    return schema.replace("meta struct", "meta: struct").replace("data array", "data: array")
 
 
 def read_meta(
-    spark: SparkSession, path: str, *, multi_line: bool = True, mode: str = "FAILFAST"
+    spark: SparkSession, path: str, *, multi_line: bool = True, mode: str = "FAILFAST", streamed: bool = False
 ) -> DataFrame:
-    """As ``read_envelopes`` without ``data``, whose rows are skipped over and not held in memory.
+    """As ``read_envelopes`` without ``data``, whose rows are skipped over and not held as values.
 
-    Spark reads only the first document of a file of JSON lines under ``multi_line``, so the
-    argument must match the files.
+    A file with anything after its one document raises an error, as there. ``streamed`` reads files
+    of any size without holding their text, but does not see what follows the first document; it is for
+    files whose rows are read by line.
     """
-    reader = spark.read.schema(META_SCHEMA).option("multiLine", multi_line).option("mode", mode)
-    return reader.json(path).select("meta", _source_file())
+    if streamed:
+        reader = spark.read.schema(META_SCHEMA).option("multiLine", multi_line).option("mode", mode)
+        return reader.json(path).select("meta", _source_file())
+    return _documents(spark, path, multi_line, META_SCHEMA, mode)
 
 
 def read_record_lines(spark: SparkSession, path: str) -> DataFrame:

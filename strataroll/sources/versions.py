@@ -113,6 +113,7 @@ def read_current(spark: SparkSession, root: str) -> DataFrame | None:
 def read_history(spark: SparkSession, root: str) -> DataFrame | None:
     """The whole history: current rows of the latest version and closed rows of all versions.
 
+    Rows without a flag are written once, like closed ones, and kept from every version.
     Both conditions are on folder names, so superseded current rows are never opened. Columns
     added later read as null from older versions.
     """
@@ -127,5 +128,7 @@ def read_history(spark: SparkSession, root: str) -> DataFrame | None:
         .option("basePath", f"{root}/{HISTORY}")
         .parquet(*paths)
     )
-    kept = everything.filter(~F.col("is_current") | (F.col(VERSION) == latest.version))
+    kept = everything.filter(
+        F.coalesce(~F.col("is_current"), F.lit(True)) | (F.col(VERSION) == latest.version)
+    )
     return kept.select(*map(named, schema.names))

@@ -6,7 +6,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from strataroll.functions.cells import epoch_to_date
+from strataroll.functions.cells import epoch_to_date, typed
 from strataroll.operators import drift, flatten as fl
 from strataroll.sources import envelopes as env
 
@@ -220,3 +220,20 @@ def test_metadata_query_does_not_parse_rows(spark, tmp_path):
     path = write(tmp_path, "a.json", json.dumps(document(DATA)))
     plan = fl.metadata(env.read_meta(spark, path))._jdf.queryExecution().executedPlan().toString()
     assert "data:array" not in plan.split("ReadSchema")[1]
+
+
+@pytest.mark.parametrize("tail", ['\n{"meta": {}, "data": []}', " trailing", "]"])
+@pytest.mark.parametrize("read", [env.read_envelopes, env.read_meta])
+def test_anything_after_a_document_is_an_error(spark, tmp_path, read, tail):
+    (tmp_path / "a.json").write_text('{"meta": {"view": {"id": "x"}},\n "data": [[1]]}' + tail)
+    with pytest.raises(Exception):
+        read(spark, str(tmp_path)).collect()
+
+
+def test_whole_numbers_in_any_spelling(spark):
+    texts = ["75", "75.0", "1.7E9", "75.5", "3000000000.0", "x", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in rows.select(typed(F.col("t"), "int")).collect()]
+    assert got == [75, 75, 1700000000, None, None, None, None]
+    dates = rows.select(typed(F.col("t"), "epoch_date").cast("string").alias("d")).collect()
+    assert dates[2].d == "2023-11-14"
