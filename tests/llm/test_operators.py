@@ -89,8 +89,6 @@ def test_personal_data_spans_as_patterns():
 
 
 def test_substring_dedup(docs, empty):
-    order = sorted((i is None, i or 0, s) for i, t, _ in TEXTS for s in range(len(words(t)) - 19))
-    del order
     first = {}
     for i, t, _ in TEXTS:
         w = words(t)
@@ -159,7 +157,7 @@ def test_mix(docs, empty):
 
 def test_targets_and_permutations():
     targets = mixing.word_targets({"a": 10, "b": 1000, None: 1000})
-    assert targets == {"a": 20.0, "b": pytest.approx(2995 * 2 / 3, abs=1e-6), None: pytest.approx(2995 / 3, abs=1e-6)} or sum(targets.values()) == pytest.approx(3015)
+    assert targets == {"a": 20.0, "b": pytest.approx(2995 * 2 / 3, abs=1e-6), None: pytest.approx(2995 / 3, abs=1e-6)}
     for n in (1, 2, 5, 64, 1000):
         ones = np.ones(n, np.int64)
         assert sorted(mixing.permuted(np.arange(n), n * ones, 7 * ones)) == list(range(n))
