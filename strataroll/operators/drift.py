@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NEW, MISSING = "new", "missing"
+#: New columns that one line of the log lists.
+NAMES_A_LINE = 100
 
 
 def schema_drift(docs: DataFrame, expected: Collection[str]) -> DataFrame:
@@ -41,15 +43,16 @@ def has_columns(df: DataFrame | None, expected: Collection[str]) -> bool:
     return df is not None and set(expected) <= set(df.columns) and not df.isEmpty()
 
 
-def drift_log(drift: DataFrame, logged_at: datetime) -> DataFrame:
-    """The log line for new columns as ``value``; no row if there are none.
+def drift_log(drift: DataFrame, logged_at: datetime, lines: int = 1) -> DataFrame:
+    """Log lines for new columns as ``value``; no row if there are none.
 
-    The line lists distinct column names, so it is as long as a schema, whatever the data volume.
+    Distinct names are dealt to the given number of lines by their hash.
     """
-    names = drift.filter(F.col("status") == NEW).agg(
-        F.array_sort(F.collect_set("column_name")).alias("names")
-    )
-    return names.filter(F.size("names") > 0).select(
+    line = F.pmod(F.xxhash64("column_name"), F.lit(lines)).alias("line")
+    new = drift.filter(F.col("status") == NEW)
+    names = new.groupBy(line).agg(F.array_sort(F.collect_set("column_name")).alias("names"))
+    return names.select(
+        # Fixed value: the form of the message.
         F.concat(
             F.lit(f"{logged_at:%Y-%m-%d %H:%M:%S}: Unexpected columns detected: ['"),
             F.array_join("names", "', '"),
@@ -61,17 +64,30 @@ def drift_log(drift: DataFrame, logged_at: datetime) -> DataFrame:
 def schema_gate(
     drift: DataFrame, log_path: str, logged_at: datetime, *, on_new: str = "fail"
 ) -> str | None:
-    """Append new columns to the drift log; then raise (``fail``) or return the line (``warn``)."""
+    """Append new columns to the drift log; then raise (``fail``) or return the message (``warn``).
+
+    Names come from the data, so their number has no bound: up to ``NAMES_A_LINE`` are one line,
+    which is also the message. More are logged in as many lines as they need, written by
+    the executors, and the message counts them.
+    """
     if on_new not in ("fail", "warn"):
         raise ValueError(f"on_new must be 'fail' or 'warn', not {on_new!r}")
-    line = drift_log(drift, logged_at).first()
-    if line is None:
+    new = drift.filter(F.col("status") == NEW).select("column_name").distinct().count()
+    if not new:
         return None
-    spark = drift.sparkSession
-    spark.createDataFrame([line]).coalesce(1).write.mode("append").text(log_path)
-    listed = line["value"].split(" detected: ", 1)[1]
+    lines = -(-new // NAMES_A_LINE)
+    logged = drift_log(drift, logged_at, lines)
+    if lines == 1:
+        message = logged.first()["value"]
+        logged = drift.sparkSession.createDataFrame([(message,)], "value string").coalesce(1)
+        listed = message.split(" detected: ", 1)[1]
+    else:
+        message = f"{logged_at:%Y-%m-%d %H:%M:%S}: {new} unexpected columns detected, listed in {log_path}"
+        listed = f"({new} of them)"
+    logged.write.mode("append").text(log_path)
     if on_new == "fail":
+        # Fixed value: the form of the message.
         raise ValueError(
             f"Unexpected columns {listed}. Please review {log_path} and update the expected columns."
         )
-    return line["value"]
+    return message

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataroll.functions.names import named
@@ -37,6 +37,12 @@ def detail_fact(current: DataFrame, exclude: Sequence[str] = DETAIL_EXCLUDES) ->
     return current.drop(*exclude)
 
 
+def _exact_mean(name: str) -> Column:
+    # By way of double, as text in the form 1E5 is no decimal to every Spark.
+    amount = named(name).try_cast("double").try_cast("decimal(28,6)")
+    return F.round(F.avg(amount), 2).cast("double")
+
+
 def aggregate_fact(
     current: DataFrame,
     as_of: date,
@@ -51,19 +57,22 @@ def aggregate_fact(
     Groups whose year is missing, unreadable or after ``as_of`` are left out; the filter is on a
     grouping column and so runs on the rows, next to the scan. All measures combine before the
     shuffle: a group that holds much of the table arrives as one row per task.
+
+    Means are exact: measures are summed as decimals of six places, so the order in which tasks
+    finish changes nothing. A measure beyond ten to the 22nd, or not finite, counts as missing.
     """
     if year not in keys:
         raise ValueError(f"{year!r} must be one of the grouping columns")
     age = (F.lit(as_of.year) - named(year).try_cast("int").cast("bigint")).try_cast("int")
-    range_value, price_value = named(electric_range).try_cast("double"), named(price).try_cast("double")
+    spread_of = named(electric_range).try_cast("double")
     groups = (
         current.filter(age >= 0)
         .groupBy(*map(named, keys))
         .agg(
             F.count("*").alias("vehicle_count"),
-            F.round(F.avg(range_value), 2).alias("avg_electric_range"),
-            F.round(F.stddev_samp(range_value), 2).alias("stddev_electric_range"),
-            F.round(F.avg(price_value), 2).alias("avg_base_msrp"),
+            _exact_mean(electric_range).alias("avg_electric_range"),
+            F.round(F.stddev_samp(spread_of), 2).alias("stddev_electric_range"),
+            _exact_mean(price).alias("avg_base_msrp"),
         )
     )
     return groups.withColumn("vehicle_age", age)

@@ -284,10 +284,11 @@ def closed_rows(
 def unchanged_rows(
     source: DataFrame, target: DataFrame, key: str, change_columns: Sequence[str]
 ) -> DataFrame:
-    """Current rows a merge would carry forward."""
+    """Current rows a merge would carry forward. Those without a key skip the join."""
     snapshot, current = _matched(source, target, key, change_columns)
-    return current.alias("tgt").join(
+    kept = current.filter(named(key).isNotNull()).alias("tgt").join(
         snapshot.select(*map(named, [key, *change_columns])).alias("src"),
         (named(key, "tgt") == named(key, "src")) & _newer(change_columns),
         "left_anti",
     )
+    return kept.unionByName(current.filter(named(key).isNull()))

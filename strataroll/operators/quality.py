@@ -135,6 +135,11 @@ def uniqueness(df: DataFrame, column: str) -> DataFrame:
     return counted.select(F.inline(F.array(line)))
 
 
+def failures(report: DataFrame) -> DataFrame:
+    """The failed checks of a report."""
+    return report.filter(~F.col("passed"))
+
+
 def passed(report: DataFrame) -> bool:
     """True if no check of the report failed."""
-    return report.filter(~F.col("passed")).isEmpty()
+    return failures(report).isEmpty()

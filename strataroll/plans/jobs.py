@@ -36,15 +36,25 @@ class Settings:
     on_failed_checks: str = "warn"
     layout: str = "document"  # one document per file; "lines": one per line; "rows": one row per line
     small_source: bool = False
+    # Normalised names for the facts.
+    fact_keys: Sequence[str] = tuple(facts.GROUPING_COLUMNS)
+    fact_year: str = "model_year"
+    fact_range: str = "electric_range"
+    fact_price: str = "base_msrp"
 
 
-def load_allowed_columns(path: str) -> dict[str, str]:
+def load_allowed_columns(path: str, spark: SparkSession | None = None) -> dict[str, str]:
     """Column types for the ``allowed_columns`` listed in a small JSON file.
 
-    Names without a known type are text. A missing, unreadable or empty list is an error.
+    Names without a known type are text. A missing, unreadable or empty list is an error. With a
+    session the file may be in any store that Spark reads.
     """
-    with open(path, encoding="utf-8") as file:
-        names = json.load(file).get("allowed_columns")
+    if spark is None:
+        with open(path, encoding="utf-8") as file:
+            text = file.read()
+    else:
+        text = "".join(row.value for row in spark.read.text(path, wholetext=True).collect())
+    names = json.loads(text).get("allowed_columns")
     if not names:
         raise ValueError(f"{path} lists no allowed_columns")
     return {name: defaults.COLUMNS.get(name, "string") for name in names}
@@ -136,7 +146,7 @@ def _check_columns(
 
 def _check_quality(report: DataFrame, settings: Settings) -> None:
     """Log failed checks; the report has one row per configured check."""
-    failures = report.filter(~F.col("passed")).collect()
+    failures = quality.failures(report).collect()
     for row in failures:
         log.warning("%s check failed for %s: %s", row.check, row.column, row.asDict())
     if failures and settings.on_failed_checks == "fail":
@@ -161,11 +171,16 @@ def refresh_facts(
     facts_root: str,
     as_of: date,
     keys: Sequence[str] = facts.GROUPING_COLUMNS,
+    *,
+    year: str = "model_year",
+    electric_range: str = "electric_range",
+    price: str = "base_msrp",
 ) -> int:
     """Write the detail and aggregate facts of the current rows; returns the committed version.
 
-    Each fact scans only its own columns of the current rows.
+    Each fact scans only its own columns of the current rows. Names are normalised ones.
     """
+    measures = {"year": year, "electric_range": electric_range, "price": price}
     current = versions.read_current(spark, history_root)
     if current is None:
         raise ValueError(f"No history is committed under {history_root}")
@@ -175,7 +190,7 @@ def refresh_facts(
         name: versions.write_version(df, facts_root, name, version)
         for name, df in {
             "detail": facts.detail_fact(rows),
-            "aggregate": facts.aggregate_fact(rows, as_of, keys),
+            "aggregate": facts.aggregate_fact(rows, as_of, keys, **measures),
         }.items()
     }
     versions.commit(spark, facts_root, version, as_of, tables)
@@ -192,4 +207,13 @@ def run(
 ) -> None:
     """Both jobs, one after the other."""
     refresh_history(spark, raw_path, history_root, as_of, settings)
-    refresh_facts(spark, history_root, facts_root, as_of)
+    refresh_facts(
+        spark,
+        history_root,
+        facts_root,
+        as_of,
+        settings.fact_keys,
+        year=settings.fact_year,
+        electric_range=settings.fact_range,
+        price=settings.fact_price,
+    )

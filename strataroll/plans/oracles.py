@@ -21,6 +21,14 @@ UNION ALL
 SELECT p_partkey, p_brand, NULL, NULL, NULL, NULL, NULL FROM part
 """
 
+MULTI_LINE_FILES = ENVELOPE_FLATTEN.partition("UNION ALL")[0]
+
+ALLOW_LIST_FLATTEN = """
+SELECT p_brand AS "Make", CAST(p_size + 1950 AS INTEGER) AS "Model Year", p_retailprice AS "Base MSRP",
+       CAST(NULL AS VARCHAR) AS "Trim"
+FROM part
+"""
+
 ENVELOPE_FLATTEN_MIXED = """
 SELECT event_id AS "Event", event_type AS "Type",
        CASE WHEN event_type = 'click' THEN user_id END AS "User",
@@ -61,6 +69,18 @@ SELECT event_id,
 FROM events
 """
 
+NUMBER_SPELLINGS = """
+WITH spelled AS (
+    SELECT event_id, CASE event_id % 5
+        WHEN 0 THEN event_id WHEN 1 THEN event_id * 100 + 25 WHEN 3 THEN event_id + 3000000000
+        WHEN 4 THEN event_id + 1700000000 END AS number
+    FROM events
+)
+SELECT event_id, TRY_CAST(number AS INTEGER) AS whole,
+       CAST(make_timestamp(number * 1000000) AS DATE) AS day
+FROM spelled
+"""
+
 # --- schema drift ---------------------------------------------------------------------------------
 
 SCHEMA_DRIFT = """
@@ -85,6 +105,14 @@ FROM (
 )
 """
 
+SCHEMA_VALID = """
+SELECT 'whole' AS frame, count(*) > 0 AS valid FROM customer
+UNION ALL SELECT 'fewer columns', false
+UNION ALL SELECT 'in debt', count(*) > 0 FROM customer WHERE c_acctbal < 0
+UNION ALL SELECT 'empty', count(*) > 0 FROM customer WHERE c_custkey IS NULL
+UNION ALL SELECT 'absent', false
+"""
+
 # --- quality --------------------------------------------------------------------------------------
 
 
@@ -173,6 +201,20 @@ DQ_REPORT = _report(
     _uniqueness("c_custkey", "checked"),
 )
 
+SOUND = _report(
+    "",
+    _completeness("c_name", "customer"),
+    _range("c_acctbal", -1000, 10000, "customer"),
+    _uniqueness("c_custkey", "customer"),
+)
+DQ_VERDICT = f"""
+SELECT suite, bool_and(passed) AS passed,
+       coalesce(string_agg("check" || ' ' || "column", ', ' ORDER BY "check" || ' ' || "column")
+                FILTER (NOT passed), '') AS failed
+FROM (SELECT 'customer' AS suite, * FROM ({SOUND}) UNION ALL SELECT 'checked', * FROM ({DQ_REPORT}))
+GROUP BY suite
+"""
+
 # --- history --------------------------------------------------------------------------------------
 
 COLUMNS = "o_orderkey, o_custkey, status, o_totalprice, o_orderpriority, created_at, updated_at"
@@ -259,7 +301,7 @@ FROM ranked
 
 SCD2_HEAL = f"""
 WITH {SNAPSHOTS}
-SELECT {COLUMNS}, created_at AS valid_from, true AS is_current, CAST(NULL AS DATE) AS valid_to FROM two
+SELECT {COLUMNS}, created_at AS valid_from, true AS is_current, CAST(NULL AS DATE) AS valid_to FROM three
 """
 
 KEYLESS = f"""
@@ -271,13 +313,24 @@ keyless_two AS (
 keyed_two AS (SELECT * FROM keyless_two WHERE o_orderkey IS NOT NULL),
 h1 AS (SELECT {_tracked(COLUMNS, "2000-01-01")} FROM keyless_one)"""
 SCD2_NULL_KEYS = f"{KEYLESS} {_merge('keyed_two', 'h1', '2001-09-01')}"
-SCD2_QUARANTINE = f"{KEYLESS} SELECT {COLUMNS} FROM keyless_two WHERE o_orderkey IS NULL"
+SCD2_QUARANTINE = f"""
+WITH {SNAPSHOTS}
+SELECT * REPLACE (CAST(NULL AS BIGINT) AS o_orderkey) FROM three WHERE o_orderpriority = '5-LOW'"""
 
 SCD2_EVOLVED_COLUMNS = f"""{HISTORY_ONE},
 evolved AS (
     SELECT * EXCLUDE (o_orderpriority), o_orderpriority = '1-URGENT' AS urgent FROM two)
 {_merge('evolved', 'h1', '2001-09-01', COLUMNS.replace('o_orderpriority', 'urgent'))}"""
 
+ADOPTED_HISTORY = f"""
+WITH {SNAPSHOTS},
+h1 AS (SELECT {_tracked(COLUMNS, "2000-01-01")} FROM one WHERE o_orderpriority <> '5-LOW'),
+h2 AS ({_merge('two', 'h1', '2001-09-01')}),
+h3 AS ({_merge('three', 'h2', '2001-12-01')})
+SELECT * FROM h3
+UNION ALL BY NAME
+SELECT {_tracked(COLUMNS, "2000-01-01", "CAST(NULL AS BOOLEAN)")} FROM one WHERE o_orderpriority = '5-LOW'"""
+
 # --- facts ----------------------------------------------------------------------------------------
 
 NORMAL_NAMES = """o_orderkey AS dol_vehicle_id, o_custkey AS vin_1_10, status AS clean_fuel_cafv_status,
@@ -300,12 +353,19 @@ def _rounded(aggregate: str) -> str:
     return f"CAST(round(CAST({text} AS DECIMAL(38, 18)), 2) AS DOUBLE)"
 
 
+def _mean_of_cents(column: str) -> str:
+    """The mean of prices in cents, rounded half away from zero in whole numbers."""
+    cents = f"sum(CAST(round({column} * 100) AS BIGINT))"
+    half_up = f"(2 * abs({cents}) + count({column})) // (2 * count({column}))"
+    return f"CAST(sign({cents}) * ({half_up}) AS DOUBLE) / 100"
+
+
 def _aggregate(keys: str, table: str, year: int) -> str:
     return f"""
 SELECT {keys}, count(*) AS vehicle_count,
        {_rounded("avg(electric_range)")} AS avg_electric_range,
        {_rounded("stddev_samp(electric_range)")} AS stddev_electric_range,
-       {_rounded("avg(base_msrp)")} AS avg_base_msrp,
+       {_mean_of_cents("base_msrp")} AS avg_base_msrp,
        {year} - CAST(model_year AS INTEGER) AS vehicle_age
 FROM {table}
 WHERE CAST(model_year AS INTEGER) <= {year}
@@ -317,7 +377,7 @@ BY_NATION = """
 WITH registrations AS (
     SELECT n_name AS make, c_mktsegment AS model, CAST(year(o_orderdate) AS VARCHAR) AS model_year,
            o_orderstatus AS state, o_orderpriority AS county, floor(o_totalprice) AS electric_range,
-           floor(c_acctbal) AS base_msrp
+           c_acctbal AS base_msrp
     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 )"""
 
@@ -336,7 +396,7 @@ WITH registrations AS (
                AS waofm_gis_legislative_district_boundary,
            CAST(date_trunc('year', l_shipdate) AS DATE) AS created_at,
            CASE WHEN l_linestatus = 'F' THEN CAST(date_trunc('year', l_shipdate) AS DATE) END AS updated_at,
-           l_quantity AS electric_range, floor(l_extendedprice) AS base_msrp
+           l_quantity AS electric_range, l_extendedprice AS base_msrp
     FROM lineitem
 )"""
 
@@ -347,11 +407,16 @@ ALL_KEYS = """make, model, model_year, city, county, electric_vehicle_type, stat
 SNAPSHOTS_TO_FACTS = f"""{HISTORY_TWO},
 registrations AS (
     SELECT status AS make, CAST(year(created_at) AS INTEGER) AS model_year, updated_at,
-           o_custkey AS electric_range, floor(o_totalprice) AS base_msrp
+           o_custkey AS electric_range, o_totalprice AS base_msrp
     FROM h2 WHERE is_current
 )
 {_aggregate("make, model_year, updated_at", "registrations", 2001)}"""
 
+PUBLISHED_DETAIL = f"""{HISTORY_TWO}
+SELECT CAST(o_orderkey AS VARCHAR) AS order_key, status AS make, CAST(year(created_at) AS INTEGER) AS model_year,
+       CAST(o_custkey AS INTEGER) AS electric_range, o_totalprice AS base_msrp
+FROM h2 WHERE is_current"""
+
 ORACLES: dict[str, str] = {
     "column_catalog": COLUMN_CATALOG,
     "allowed_columns": f"{COLUMN_CATALOG} WHERE name <> 'id'",
@@ -359,6 +424,16 @@ ORACLES: dict[str, str] = {
     "envelope_flatten_mixed": ENVELOPE_FLATTEN_MIXED,
     "document_files": ENVELOPE_FLATTEN,
     "record_line_files": RECORD_LINE_FILES,
+    "multi_line_files": MULTI_LINE_FILES,
+    "multi_line_files_by_row": MULTI_LINE_FILES,
+    "allow_list_flatten": ALLOW_LIST_FLATTEN,
+    "published_metadata": METADATA_EXTRACT,
+    "published_approvals": APPROVALS_EXPLODE,
+    "number_spellings": NUMBER_SPELLINGS,
+    "schema_valid": SCHEMA_VALID,
+    "dq_verdict": DQ_VERDICT,
+    "adopted_history": ADOPTED_HISTORY,
+    "published_detail": PUBLISHED_DETAIL,
     "metadata_extract": METADATA_EXTRACT,
     "approvals_explode": APPROVALS_EXPLODE,
     "epoch_to_date": EPOCH_TO_DATE,

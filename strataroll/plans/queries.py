@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataroll.functions.cells import EPOCH_DATE, epoch_to_date
+from strataroll.functions.cells import EPOCH_DATE, epoch_to_date, typed
 from strataroll.functions.names import named, normalize_columns
 from strataroll.operators import drift, facts, flatten, history, quality
 from strataroll.plans import jobs
@@ -136,10 +137,60 @@ def record_line_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten.flatten_record_lines(records, docs, declared)
 
 
-def metadata_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tags are joined to one text at the end, for comparison with SQL."""
-    created = F.lit(1600000000) + F.col("c_custkey")
+#: Parts in one document of the files below, however many parts there are.
+PARTS_A_FILE = 100
+
+
+def part_files(spark: SparkSession, sf_dir: str) -> str:
+    """All parts as whole documents over several lines, a file each: header, a line for each row, tail."""
+    path = shared_folder(spark, "part-files")
+    created = F.lit(1700000000) + F.col("p_partkey") * 1000
+    row = record(
+        F.lit("row"), "p_partkey", "p_brand", F.lit("-"), "p_type", "p_size", "p_retailprice", created
+    )
+    number = F.floor(F.col("p_partkey") / PARTS_A_FILE).alias("document")
+    files = table(spark, sf_dir, "part").groupBy(number).agg(F.collect_list(F.to_json(row)).alias("lines"))
+    view = F.struct(F.col("document").cast("string").alias("id"), catalog(*PART_ENTRIES).alias("columns"))
+    text = F.concat(
+        F.lit('{\n  "meta" : '),
+        F.to_json(F.struct(view.alias("view"))),
+        F.lit(',\n  "data" : [ '),
+        F.array_join("lines", "\n, "),
+        F.lit(' ],\n  "tail" : { "complete" : true }\n}'),
+    )
+    files.select("document", text.alias("value")).write.partitionBy("document").text(path)
+    return path
+
+
+def multi_line_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents, each parsed from its file."""
+    return flatten.flatten(envelopes.read_envelopes(spark, part_files(spark, sf_dir)), PART_COLUMNS)
+
+
+def multi_line_files_by_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files with rows read line by line, beside the catalogue of each file."""
+    path = part_files(spark, sf_dir)
+    docs = envelopes.read_meta(spark, path, streamed=True)
+    return flatten.flatten_record_lines(envelopes.read_record_lines(spark, path), docs, PART_COLUMNS)
+
+
+def allow_list_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns and types as a stored allow-list names them; one is in no document."""
+    path = shared_folder(spark, "allow-list")
+    listed = '{"allowed_columns": ["Make", "Model Year", "Base MSRP", "Trim"]}'
+    spark.createDataFrame([(listed,)], "value string").coalesce(1).write.text(path)
+    year = F.concat(F.col("p_size") + 1950, F.lit(".0"))
     docs = documents(
+        table(spark, sf_dir, "part"),
+        catalog(("y", "Model Year"), ("b", "Make"), ("t", "Model"), ("p", "Base MSRP")),
+        F.array(record(year, "p_brand", "p_type", "p_retailprice")),
+    )
+    return flatten.flatten(docs, jobs.load_allowed_columns(path, spark))
+
+
+def customer_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    created = F.lit(1600000000) + F.col("c_custkey")
+    return documents(
         table(spark, sf_dir, "customer"),
         catalog(*PART_ENTRIES),
         F.lit(None).cast("array<array<string>>"),
@@ -151,10 +202,15 @@ def metadata_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
         createdAt=created,
         publicationDate=F.when(F.col("c_acctbal") > 0, created + 86400),
     )
+
+
+def metadata_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tags are joined to one text at the end, for comparison with SQL."""
+    docs = customer_documents(spark, sf_dir)
     return flatten.metadata(docs).withColumn("tags", F.array_join("tags", ","))
 
 
-def approvals_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+def approval_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Finished orders have two approvals, open ones one, others none."""
 
     def approval(state: str, automatic: bool) -> Column:
@@ -172,13 +228,42 @@ def approvals_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     each = F.when(
         F.col("o_orderstatus") == "F", F.array(approval("pending", False), approval("approved", True))
     ).when(F.col("o_orderstatus") == "O", F.array(approval("pending", False)))
-    docs = documents(
+    return documents(
         table(spark, sf_dir, "orders"),
         catalog(*PART_ENTRIES),
         F.lit(None).cast("array<array<string>>"),
         approvals=each,
     )
-    return flatten.approvals(docs)
+
+
+def approvals_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatten.approvals(approval_documents(spark, sf_dir))
+
+
+def published(spark: SparkSession, docs: DataFrame, name: str) -> DataFrame:
+    """A table that the history job publishes beside the history, read back."""
+    path, root = shared_folder(spark, "raw"), shared_folder(spark, "history")
+    docs.write.json(path)
+    settings = jobs.Settings(
+        columns={"Part Key": "string", "created_at": EPOCH_DATE},
+        key="Part Key",
+        change_columns=("created_at",),
+        critical=("Part Key",),
+        ranges={},
+        unique=("Part Key",),
+        layout="lines",
+    )
+    jobs.refresh_history(spark, path, root, FIRST_RUN, settings)
+    return versions.read_table(spark, root, name)
+
+
+def published_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = published(spark, customer_documents(spark, sf_dir), "metadata")
+    return stored.withColumn("tags", F.array_join("tags", ","))
+
+
+def published_approvals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return published(spark, approval_documents(spark, sf_dir), "approvals")
 
 
 def epoch_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,6 +273,22 @@ def epoch_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", epoch_to_date(text).alias("day"))
 
 
+def number_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole numbers with a fraction of zeros or an exponent, fractions, and numbers beyond an int."""
+    number = F.col("event_id").cast("string")
+    kind = F.col("event_id") % 5
+    text = (
+        F.when(kind == 0, F.concat(number, F.lit(".0")))
+        .when(kind == 1, F.concat(number, F.lit(".25E2")))
+        .when(kind == 2, F.concat(number, F.lit(".5")))
+        .when(kind == 3, (F.col("event_id") + 3000000000).cast("string"))
+        .otherwise(F.concat((F.col("event_id") + 1700000000).cast("string"), F.lit(".000")))
+    )
+    return table(spark, sf_dir, "events").select(
+        "event_id", typed(text, "int").alias("whole"), typed(text, EPOCH_DATE).alias("day")
+    )
+
+
 # --- schema drift ---------------------------------------------------------------------------------
 
 EXPECTED = ["Name", "Segment", "Balance", "Nation"]
@@ -215,6 +316,21 @@ def schema_gate_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def schema_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which frames may go on: one as expected, one with columns missing, an empty and an absent one."""
+    customers = table(spark, sf_dir, "customer")
+    expected = ["c_custkey", "c_name", "c_acctbal"]
+    frames = {
+        "whole": customers,
+        "fewer columns": customers.drop("c_acctbal"),
+        "in debt": customers.filter("c_acctbal < 0"),
+        "empty": customers.filter("c_custkey IS NULL"),
+        "absent": versions.if_present(lambda: table(spark, sf_dir, "no_such_table")),
+    }
+    verdicts = [(name, drift.has_columns(df, expected)) for name, df in frames.items()]
+    return spark.createDataFrame(verdicts, "frame string, valid boolean")
+
+
 # --- quality --------------------------------------------------------------------------------------
 
 
@@ -269,6 +385,22 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dq_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each suite passes, and its failed checks."""
+    customers = table(spark, sf_dir, "customer")
+    sound = quality.quality_report(customers, ["c_name"], {"c_acctbal": (-1000, 10000)}, ["c_custkey"])
+    suites = {"customer": sound, "checked": dq_report(spark, sf_dir)}
+    lines = [
+        quality.failures(report).agg(
+            F.lit(name).alias("suite"),
+            F.lit(quality.passed(report)).alias("passed"),
+            F.array_join(F.array_sort(F.collect_list(F.concat_ws(" ", "check", "column"))), ", ").alias("failed"),
+        )
+        for name, report in suites.items()
+    ]
+    return reduce(DataFrame.unionByName, lines)
+
+
 # --- history --------------------------------------------------------------------------------------
 
 
@@ -323,7 +455,7 @@ def scd2_latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scd2_heal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part_tracked = snapshot_two(spark, sf_dir).withColumn("valid_from", F.col("created_at"))
+    part_tracked = snapshot_three(spark, sf_dir).withColumn("valid_from", F.col("created_at"))
     return history.heal_tracking(part_tracked, FIRST_RUN)
 
 
@@ -369,7 +501,7 @@ def scd2_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scd2_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.without_key(keyless(snapshot_two(spark, sf_dir)), KEY)
+    return history.without_key(keyless(snapshot_three(spark, sf_dir)), KEY)
 
 
 def scd2_evolved_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -403,6 +535,17 @@ def published_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.read_history(spark, root)
 
 
+def adopted_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table from elsewhere, some of whose rows have no flag, and two snapshots on top of it."""
+    root = shared_folder(spark, "history")
+    flag = F.when(F.col("o_orderpriority") != "5-LOW", F.lit(True))
+    found = history.start_tracking(snapshot_one(spark, sf_dir), FIRST_RUN).withColumn("is_current", flag)
+    jobs.adopt_history(spark, found, root, FIRST_RUN, jobs.Settings(key=KEY, change_columns=CHANGES))
+    publish_merge(spark, root, snapshot_two(spark, sf_dir), SECOND_RUN)
+    publish_merge(spark, root, snapshot_three(spark, sf_dir), THIRD_RUN)
+    return versions.read_history(spark, root)
+
+
 # --- facts ----------------------------------------------------------------------------------------
 
 
@@ -435,8 +578,7 @@ def curated_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 def curated_aggregate_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as registrations: nation and segment are make and model, the order year is the year.
 
-    Measures are whole numbers here and below, as vehicle ranges and prices are. Their sums are
-    exact in doubles, so averages do not depend on the order in which tasks finish.
+    Ranges are whole numbers here and below, prices have cents.
     """
     customers = table(spark, sf_dir, "customer").join(
         table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
@@ -451,7 +593,7 @@ def curated_aggregate_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("o_orderstatus").alias("state"),
             F.col("o_orderpriority").alias("county"),
             F.floor("o_totalprice").alias("electric_range"),
-            F.floor("c_acctbal").alias("base_msrp"),
+            F.col("c_acctbal").alias("base_msrp"),
         )
     )
     keys = ["make", "model", "model_year", "state", "county"]
@@ -482,7 +624,7 @@ def line_registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.trunc(shipped, "year").alias("created_at"),
         F.when(F.col("l_linestatus") == "F", F.trunc(shipped, "year")).alias("updated_at"),
         F.col("l_quantity").alias("electric_range"),
-        F.floor("l_extendedprice").alias("base_msrp"),
+        F.col("l_extendedprice").alias("base_msrp"),
     )
 
 
@@ -513,7 +655,7 @@ def write_order_documents(spark: SparkSession, orders: DataFrame) -> str:
         "status",
         F.year("created_at"),
         "o_custkey",
-        F.floor("o_totalprice"),
+        "o_totalprice",
         epoch("created_at"),
         epoch("updated_at"),
     )
@@ -522,8 +664,8 @@ def write_order_documents(spark: SparkSession, orders: DataFrame) -> str:
     return path
 
 
-def snapshots_to_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two raw snapshots through both jobs; the aggregate fact as published."""
+def publish_facts(spark: SparkSession, sf_dir: str) -> str:
+    """Two raw snapshots through both jobs; the root of the facts."""
     root, out = shared_folder(spark, "history"), shared_folder(spark, "facts")
     settings = jobs.Settings(
         columns=ORDER_COLUMNS,
@@ -540,7 +682,15 @@ def snapshots_to_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         jobs.refresh_history(spark, write_order_documents(spark, orders), root, as_of, settings)
     keys = ["make", "model_year", "updated_at"]
     jobs.refresh_facts(spark, root, out, SECOND_RUN, keys)
-    return versions.read_table(spark, out, "aggregate")
+    return out
+
+
+def snapshots_to_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return versions.read_table(spark, publish_facts(spark, sf_dir), "aggregate")
+
+
+def published_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return versions.read_table(spark, publish_facts(spark, sf_dir), "detail")
 
 
 QUERIES: dict[str, Query] = {
@@ -550,6 +700,16 @@ QUERIES: dict[str, Query] = {
     "envelope_flatten_mixed": envelope_flatten_mixed,
     "document_files": document_files,
     "record_line_files": record_line_files,
+    "multi_line_files": multi_line_files,
+    "multi_line_files_by_row": multi_line_files_by_row,
+    "allow_list_flatten": allow_list_flatten,
+    "published_metadata": published_metadata,
+    "published_approvals": published_approvals,
+    "number_spellings": number_spellings,
+    "schema_valid": schema_valid,
+    "dq_verdict": dq_verdict,
+    "adopted_history": adopted_history,
+    "published_detail": published_detail,
     "metadata_extract": metadata_extract,
     "approvals_explode": approvals_explode,
     "epoch_to_date": epoch_dates,

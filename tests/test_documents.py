@@ -237,3 +237,14 @@ def test_whole_numbers_in_any_spelling(spark):
     assert got == [75, 75, 1700000000, None, None, None, None]
     dates = rows.select(typed(F.col("t"), "epoch_date").cast("string").alias("d")).collect()
     assert dates[2].d == "2023-11-14"
+
+
+def test_many_new_columns_are_counted_not_listed(spark, tmp_path):
+    found = spark.range(250).selectExpr("concat('c', id) AS column_name", "'new' AS status", "1L AS documents")
+    log = str(tmp_path / "log")
+    message = drift.schema_gate(found, log, datetime(2025, 4, 11, 10), on_new="warn")
+    assert message == f"2025-04-11 10:00:00: 250 unexpected columns detected, listed in {log}"
+    lines = [r.value for r in spark.read.text(log).collect()]
+    assert 1 < len(lines) <= 3 and sum(line.count("'c") for line in lines) == 250
+    with pytest.raises(ValueError, match="250 of them"):
+        drift.schema_gate(found, log, datetime(2025, 4, 11, 10))

@@ -54,3 +54,15 @@ def test_aggregate_filters_before_and_combines_before_the_shuffle(spark, tmp_pat
 def test_detail(spark):
     df = spark.createDataFrame([(1, 2, True)], "make int, vin_1_10 int, is_current boolean")
     assert facts.detail_fact(df).columns == ["make"]
+
+
+def test_means_do_not_depend_on_the_order_of_rows(spark):
+    rows = spark.range(20000).selectExpr(
+        "'m' AS make", "'2020' AS model_year", "1 AS electric_range",
+        "CASE WHEN id % 2 = 0 THEN 1e15 ELSE 0.07 END AS base_msrp",
+    )
+    means = {
+        facts.aggregate_fact(rows.repartition(n), AS_OF, ["make", "model_year"]).first().avg_base_msrp
+        for n in (1, 7, 30)
+    }
+    assert means == {500000000000000.04}

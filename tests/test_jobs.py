@@ -7,6 +7,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from strataroll import __main__ as command_line
 from strataroll.operators import history as h
 from strataroll.plans import defaults, jobs
 from strataroll.sources import versions as v
@@ -201,3 +202,27 @@ def test_published_history_equals_the_pure_merge(spark, tmp_path):
         pure = h.scd2_merge(rows, pure, defaults.KEY, defaults.CHANGE_COLUMNS, date(2025, 6, n))
     published = v.read_history(spark, root).select(*[f"`{c}`" for c in pure.columns])
     assert published.exceptAll(pure).isEmpty() and pure.exceptAll(published).isEmpty()
+
+
+def test_command_line_names_every_setting():
+    argv = (
+        "run --raw r --history h --facts f --as-of 2025-06-01 --layout lines --key id --change-columns seen"
+        " --critical a b --unique id --range price 0 9.5 --small-source --on-new-columns fail"
+        " --on-failed-checks fail --fact-keys maker year --fact-year year --fact-range reach --fact-price cost"
+    )
+    given = command_line.settings(command_line.arguments(argv.split()))
+    assert given == jobs.Settings(
+        key="id", change_columns=("seen",), critical=("a", "b"), ranges={"price": (0.0, 9.5)}, unique=("id",),
+        on_new_columns="fail", on_failed_checks="fail", layout="lines", small_source=True,
+        fact_keys=("maker", "year"), fact_year="year", fact_range="reach", fact_price="cost",
+    )
+    few = command_line.settings(command_line.arguments(["history", "--raw", "r", "--history", "h", "--as-of", "2025-06-01"]))
+    assert few == jobs.Settings()
+    with pytest.raises(SystemExit):
+        command_line.arguments(["run", "--raw", "r", "--history", "h", "--as-of", "2025-06-01"])
+
+
+def test_allowed_columns_by_session(spark, tmp_path):
+    listed = tmp_path / "listed.json"
+    listed.write_text('{\n "allowed_columns": ["Make"]\n}')
+    assert jobs.load_allowed_columns(str(listed), spark) == {"Make": "string"}
