@@ -26,6 +26,10 @@ BITS, PIVOTS = 64, 32
 #: Blocks with more rows are compared piece against piece, in as many tasks as there are pairs of pieces.
 BLOCK_ROWS = 2048
 _PIVOTS = np.random.default_rng(3).integers(0, 2**64, PIVOTS, dtype=np.uint64)
+#: A sketch has so many bits, each of its own hash: a change of bits and an odd factor.
+SKETCH_BITS = 256
+_SHIFT, _FACTOR = np.random.default_rng(5).integers(0, 2**64, (2, SKETCH_BITS), dtype=np.uint64)
+_FACTOR |= np.uint64(1)
 #: Shingles hashed at once, so that long texts need no more memory.
 CHUNK = 1 << 16
 
@@ -52,15 +56,37 @@ def fingerprint(words: list[bytes], n: int, seed: int) -> np.uint64:
     return np.packbits(count * 2 > total, bitorder="little").view("<u8")[0]
 
 
-def fingerprints(docs: DataFrame, kinds: list[tuple[int, int]], *keep: Column, text_col: str = "text") -> DataFrame:
-    """The kept columns and ``fps array<bigint>``, a fingerprint for each (words a shingle, seed)."""
+def set_sketch(words: list[bytes], n: int, seed: int) -> np.ndarray:
+    """SKETCH_BITS bits of the set of n-word shingles: of each of as many hashes, one bit of the least.
+
+    Two sets of similarity s differ in a part (1 - s) / 2 of the bits. Without words all are zero.
+    """
+    least = np.full(SKETCH_BITS, 2**64 - 1, np.uint64)
+    for h in shingle_hashes(words, n, seed):
+        for at in range(0, len(h), 1024):
+            each = (h[None, at : at + 1024] ^ _SHIFT[:, None]) * _FACTOR[:, None]
+            np.minimum(least, each.min(1), out=least)
+    # A low bit of the product says nothing on which of them is the least.
+    bits = (least >> np.uint64(20)) & np.uint64(1) if words else np.zeros(SKETCH_BITS, np.uint64)
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view("<u8")
+
+
+def fingerprints(
+    docs: DataFrame,
+    kinds: list[tuple[int, int]],
+    *keep: Column,
+    text_col: str = "text",
+    sketch: tuple[int, int] | None = None,
+) -> DataFrame:
+    """The kept columns and ``fps array<bigint>``: a fingerprint for each (words a shingle, seed), then the sketch."""
     rows = docs.select(*keep, text_or_empty(text_col).alias("text"))
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = []
         for text in texts_of(batch, "text"):
             words = text.encode().lower().split()
-            found.append([int(fingerprint(words, n, seed).astype(np.int64)) for n, seed in kinds])
+            fps = [int(fingerprint(words, n, seed).astype(np.int64)) for n, seed in kinds]
+            found.append(fps + (set_sketch(words, *sketch).astype(np.int64).tolist() if sketch else []))
         fps = pa.array(found, pa.list_(pa.int64()))
         return pa.RecordBatch.from_arrays([*batch.columns[:-1], fps], [*batch.schema.names[:-1], "fps"])
 
@@ -218,17 +244,17 @@ def simhash_components(docs: DataFrame, n: int = 3, seed: int = 42, radius: int
 
 
 #: For the near-duplicate stage. Two 64-bit fingerprints of single words propose pairs, since few
-#: edits move them little. 256 bits over shingles of five words then estimate the similarity: sets
-#: of similarity 0.8 have a cosine of 0.89 and differ in 39 of 256 bits, give or take 6.
-PROPOSE, ESTIMATE = [(1, 42), (1, 43)], [(5, seed) for seed in (1, 2, 3, 4)]
-ESTIMATE_BITS = 46
+#: edits move them little. A sketch of the set of five-word shingles then verifies them: sets of
+#: similarity 0.8 differ in 26 of its 256 bits, give or take 5, and of similarity 0.6 in 51.
+PROPOSE, VERIFY = [(1, 42), (1, 43)], (5, 1)
+VERIFY_BITS = 33
 
 
 def drop_near_duplicates(docs: DataFrame, radius: int = 3) -> DataFrame:
     """``docs`` without the documents that are near another of smaller id, directly or through others.
 
     Near: within ``radius`` bits in a fingerprint of single words, and similar by 0.8 or more in
-    shingles of five words, as 256 bits estimate. Of each group the smallest id stays (null last, then the
+    sets of five-word shingles, as 256 bits of their sketches estimate. Of each group the smallest id stays (null last, then the
     first row). Null and empty texts are one group. ``docs`` must be a stored table or another plan
     that gives its rows in the same places each time, as it is read twice. All columns stay.
     """
@@ -236,12 +262,12 @@ def drop_near_duplicates(docs: DataFrame, radius: int = 3) -> DataFrame:
     k = len(PROPOSE)
     doc_id = F.col("doc_id").cast("bigint").alias("doc_id")
     prints = saved(
-        fingerprints(docs, [*PROPOSE, *ESTIMATE], doc_id, row).withColumn("node", F.xxhash64("fps")), "fingerprints"
+        fingerprints(docs, PROPOSE, doc_id, row, sketch=VERIFY).withColumn("node", F.xxhash64("fps")), "fingerprints"
     )
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
     nodes = saved(prints.groupBy("node").agg(F.first("fps").alias("fps"), F.min(order).alias("first")), "nodes")
-    parts = nodes.select("node", F.slice("fps", 1, k).alias("fps"), F.slice("fps", k + 1, len(ESTIMATE)).alias("wide"))
-    labels = components(near_links(parts, radius, ESTIMATE_BITS))
+    parts = nodes.select("node", F.slice("fps", 1, k).alias("fps"), F.slice("fps", k + 1, SKETCH_BITS // BITS).alias("wide"))
+    labels = components(near_links(parts, radius, VERIFY_BITS))
     labelled = nodes.join(labels, "node", "left").select("first", F.coalesce("label", "node").alias("label"))
     firsts = labelled.groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row"))
     dropped = saved(prints.select("row").join(firsts, "row", "left_anti"), "dropped")

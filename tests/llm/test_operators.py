@@ -142,6 +142,18 @@ def test_close_rows_finds_all_near_pairs():
     assert len(simhash.band_masks(3)) == 20
 
 
+@pytest.mark.parametrize("shared", [0, 300, 600, 900, 1000])
+def test_sketch_estimates_similarity(shared):
+    random = np.random.default_rng(shared)
+    of = lambda ids: [b"w%d" % i for i in ids]
+    a, b = list(range(1000)), [*range(shared), *range(2000, 3000 - shared)]
+    random.shuffle(b)
+    x, y = (simhash.set_sketch(of(ids * 2), 1, 7) for ids in (a, b))
+    part = np.bitwise_count(x ^ y).sum() / simhash.SKETCH_BITS
+    assert abs(1 - 2 * part - shared / (2000 - shared)) < 0.2
+    assert not simhash.set_sketch([], 5, 7).any()
+
+
 def test_mix(docs, empty):
     rows = mixing.mix_documents(docs).collect()
     assert len(rows) == len(TEXTS) and all(r.taken <= 2 * r.size for r in rows)
