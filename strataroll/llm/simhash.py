@@ -30,6 +30,8 @@ _PIVOTS = np.random.default_rng(3).integers(0, 2**64, PIVOTS, dtype=np.uint64)
 SKETCH_BITS = 256
 _SHIFT, _FACTOR = np.random.default_rng(5).integers(0, 2**64, (2, SKETCH_BITS), dtype=np.uint64)
 _FACTOR |= np.uint64(1)
+#: Pairs held to be linked by distance before they are reduced to fewer than there are rows.
+HELD_PAIRS = 1 << 20
 #: Shingles hashed at once, so that long texts need no more memory.
 CHUNK = 1 << 16
 
@@ -110,28 +112,52 @@ def _signed(mask: int) -> int:
 
 
 class Forest:
-    """Links among rows 0 to n - 1, kept as the smallest row of each connected set."""
+    """Links among rows 0 to n - 1: the smallest row of each connected set, and the pairs that connected it."""
 
-    def __init__(self, n: int):
-        self.label = np.arange(n)
+    def __init__(self, label: np.ndarray):
+        self.label = label
+        self.links = [(label[:0], label[:0])]
 
     def link(self, a: np.ndarray, b: np.ndarray) -> None:
         while True:
             x, y = self.label[a], self.label[b]
             if not (apart := x != y).any():
                 return
-            a, b, x, y = a[apart], b[apart], x[apart], y[apart]
-            np.minimum.at(self.label, np.maximum(x, y), np.minimum(x, y))
+            a, b, high, low = a[apart], b[apart], np.maximum(x, y)[apart], np.minimum(x, y)[apart]
+            np.minimum.at(self.label, high, low)
+            won = np.flatnonzero(self.label[high] == low)
+            won = won[np.unique(high[won], return_index=True)[1]]
+            self.links.append((a[won], b[won]))
             while (self.label != (up := self.label[self.label])).any():
                 self.label = up
 
+    def link_by_distance(self, a: np.ndarray, b: np.ndarray, wide: np.ndarray) -> None:
+        """Closer pairs first, so that each set is connected by its closest pairs."""
+        distance = wide_distance(wide, a, b)
+        for d in np.unique(distance):
+            self.link(a[distance == d], b[distance == d])
 
-def close_rows(key: np.ndarray, side: np.ndarray, fp: np.ndarray, wide: np.ndarray, radius: int, wide_radius: int) -> np.ndarray:
+
+def wide_distance(wide: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(wide[a] ^ wide[b]).sum(1, dtype=np.int16)
+
+
+def close_rows(
+    key: np.ndarray,
+    side: np.ndarray,
+    fp: np.ndarray,
+    wide: np.ndarray,
+    radius: int,
+    wide_radius: int,
+    forest: Forest | None = None,
+) -> np.ndarray:
     """The smallest linked row of each row, for rows sorted by block.
 
-    Rows of the same side (1 or 2, 0: none) are left to another pair of pieces.
+    Rows of the same side (1 or 2, 0: none) are left to another pair of pieces. With wide
+    fingerprints ``forest`` gathers the closest pairs that connect the rows.
     """
-    n, forest = len(key), Forest(len(key))
+    n, forest = len(key), forest or Forest(np.arange(len(key)))
+    held: list[tuple[np.ndarray, np.ndarray]] = []  # pairs not so close that nothing can be closer
     table = np.bitwise_count(fp[:, None] ^ _PIVOTS[None, :]).astype(np.int8)
     alive = np.arange(n)
     for shift in range(1, n):
@@ -144,10 +170,19 @@ def close_rows(key: np.ndarray, side: np.ndarray, fp: np.ndarray, wide: np.ndarr
         for coordinates in (slice(0, 4), slice(4, PIVOTS)):  # most pairs go with the first few
             a = a[np.abs(table[a, coordinates] - table[a + shift, coordinates]).max(1, initial=0) <= radius]
         a = a[np.bitwise_count(fp[a] ^ fp[a + shift]) <= radius]
-        if wide.shape[1]:
-            a = a[np.bitwise_count(wide[a] ^ wide[a + shift]).sum(1) <= wide_radius]
+        if wide.shape[1] and len(a):
+            distance = wide_distance(wide, a, a + shift)
+            fair = a[(distance > wide_radius // 3) & (distance <= wide_radius)]
+            held.append((fair, fair + shift))
+            a = a[distance <= wide_radius // 3]
+            if sum(len(x) for x, _ in held) > HELD_PAIRS:
+                least = Forest(forest.label.copy())
+                least.link_by_distance(*map(np.concatenate, zip(*held)), wide)
+                held = [tuple(map(np.concatenate, zip(*least.links)))]
         if len(a):
             forest.link(a, a + shift)
+    if held:
+        forest.link_by_distance(*map(np.concatenate, zip(*held)), wide)
     return forest.label
 
 
@@ -155,8 +190,9 @@ def near_links(nodes: DataFrame, radius: int, wide_radius: int = 0) -> DataFrame
     """Links ``a, b`` that connect what the near pairs connect.
 
     ``nodes`` has ``node bigint, fps array<bigint>, wide array<bigint>``: pairs are near if
-    one of their fingerprints in the same place differs in at most ``radius`` bits and their wide
-    fingerprints, if any, in at most ``wide_radius``. A block gives fewer links than it has rows.
+    one of their fingerprints in the same place differs in at most ``radius`` bits and, unless ``wide_radius``
+    is 0, their wide ones of SKETCH_BITS in at most so many. A block gives fewer links than it has rows,
+    those of the closest pairs by the wide fingerprints.
     """
     masks = band_masks(radius)
     keys = F.array(
@@ -165,17 +201,19 @@ def near_links(nodes: DataFrame, radius: int, wide_radius: int = 0) -> DataFrame
             for i, m in enumerate(masks)
         ]
     )
-    each = nodes.select("node", F.posexplode("fps").alias("place", "fp"), "wide")
-    keyed = each.select("node", "fp", "wide", F.explode(keys).alias("key"))
+    wides = [f"wide{i}" for i in range(SKETCH_BITS // BITS if wide_radius else 0)]
+    split = [F.col("wide")[i].alias(w) for i, w in enumerate(wides)]
+    each = nodes.select("node", F.posexplode("fps").alias("place", "fp"), *split)
+    keyed = each.select("node", "fp", *wides, F.explode(keys).alias("key"))
     large = keyed.groupBy("key").count().filter(F.col("count") > BLOCK_ROWS)
     pieces = F.coalesce(F.ceil(F.col("count") / (BLOCK_ROWS // 2)), F.lit(1)).cast("int")
     cut = keyed.join(saved(large, "large-blocks"), "key", "left").withColumn("pieces", pieces)
     cut = cut.withColumn("mine", F.pmod(F.xxhash64("node", "key"), F.col("pieces")).cast("int"))
     other = F.sequence(F.lit(0), F.col("pieces") - 1)
-    paired = cut.select("node", "fp", "wide", "key", "mine", "pieces", F.explode(other).alias("other")).select(
+    paired = cut.select("node", "fp", *wides, "key", "mine", "pieces", F.explode(other).alias("other")).select(
         "node",
         "fp",
-        "wide",
+        *wides,
         F.when(F.col("pieces") == 1, F.col("key"))
         .otherwise(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")))
         .alias("key"),
@@ -207,13 +245,13 @@ def near_links(nodes: DataFrame, radius: int, wide_radius: int = 0) -> DataFrame
         some = np.flatnonzero(same | np.r_[False, same[:-1]])  # rows that are not alone in their block
         if not len(some):
             return
-        wide = rows.column("wide").combine_chunks().take(pa.array(some)).flatten().to_numpy(zero_copy_only=False)
-        wide = wide.astype(np.uint64).reshape(len(some), -1) if len(wide) else np.zeros((len(some), 0), np.uint64)
+        wide = np.zeros((len(some), len(wides)), np.uint64)
+        for i, w in enumerate(wides):
+            wide[:, i] = rows.column(w).to_numpy()[some].astype(np.uint64)
         side = rows.column("side").to_numpy()[some]
-        node = node[some]
-        label = close_rows(key[some], side, fp[some].astype(np.uint64), wide, radius, wide_radius)
-        moved = np.flatnonzero(label != np.arange(len(label)))
-        links = [pa.array(node[moved]), pa.array(node[label[moved]])]
+        node, forest = node[some], Forest(np.arange(len(some)))
+        close_rows(key[some], side, fp[some].astype(np.uint64), wide, radius, wide_radius, forest)
+        links = [pa.array(node[np.concatenate(end)]) for end in zip(*forest.links)]
         yield pa.RecordBatch.from_arrays(links, ["a", "b"])
 
     grouped = paired.repartition("key").sortWithinPartitions("key")
@@ -244,19 +282,52 @@ def simhash_components(docs: DataFrame, n: int = 3, seed: int = 42, radius: int
 
 
 #: For the near-duplicate stage. Two 64-bit fingerprints of single words propose pairs, since few
-#: edits move them little. A sketch of the set of five-word shingles then verifies them: sets of
+#: edits move them little. A sketch of the set of five-word shingles discards most of the others: sets of
 #: similarity 0.8 differ in 26 of its 256 bits, give or take 5, and of similarity 0.6 in 51.
 PROPOSE, VERIFY = [(1, 42), (1, 43)], (5, 1)
-VERIFY_BITS = 33
+VERIFY_BITS = 42
+#: The least hashes of a set that verify a pair: all of them for sets of so many shingles.
+LEAST = 256
+
+
+def least_hashes(words: list[bytes], n: int, seed: int) -> np.ndarray:
+    """The LEAST smallest 32-bit hashes of the set of n-word shingles, sorted."""
+    least = np.zeros(0, np.int32)
+    for h in shingle_hashes(words, n, seed):
+        least = np.unique(np.concatenate([least, (h >> np.uint64(32)).astype(np.uint32).view(np.int32)]))[:LEAST]
+    return least
+
+
+def verified(links: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The links ``a, b`` whose ends have a similarity of 0.8 or more.
+
+    ``nodes`` has ``node, row``, ``docs`` has ``row, text``. The least hashes of both sets that are in both are
+    counted: exact where the union has LEAST shingles at most, else give or take 0.025. Only documents with
+    links meet, with at most LEAST hashes each.
+    """
+    links = saved(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-pairs")
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node")
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        least = [least_hashes(text.encode().lower().split(), *VERIFY) for text in texts_of(batch, "text")]
+        return pa.RecordBatch.from_arrays([batch.column("row"), pa.array(least, pa.list_(pa.int32()))], ["row", "least"])
+
+    sets = by_batch(docs, step, "row bigint, least array<int>").join(ends, "row").select("node", "least")
+    sets = saved(sets, "least-hashes")
+    of = lambda end: sets.select(F.col("node").alias(end), F.col("least").alias(f"of_{end}"))
+    both = F.array_intersect("of_a", "of_b")
+    union = F.slice(F.array_sort(F.array_union("of_a", "of_b")), 1, LEAST)
+    alike = F.size(F.array_intersect(union, both)) * 5 >= F.size(union) * 4
+    return links.join(of("a"), "a").join(of("b"), "b").filter(alike).select("a", "b")
 
 
 def drop_near_duplicates(docs: DataFrame, radius: int = 3) -> DataFrame:
     """``docs`` without the documents that are near another of smaller id, directly or through others.
 
     Near: within ``radius`` bits in a fingerprint of single words, and similar by 0.8 or more in
-    sets of five-word shingles, as 256 bits of their sketches estimate. Of each group the smallest id stays (null last, then the
+    sets of five-word shingles, see ``verified``. Of each group the smallest id stays (null last, then the
     first row). Null and empty texts are one group. ``docs`` must be a stored table or another plan
-    that gives its rows in the same places each time, as it is read twice. All columns stay.
+    that gives its rows in the same places each time, as it is read three times. All columns stay.
     """
     row = F.monotonically_increasing_id().alias("row")
     k = len(PROPOSE)
@@ -267,7 +338,10 @@ def drop_near_duplicates(docs: DataFrame, radius: int = 3) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
     nodes = saved(prints.groupBy("node").agg(F.first("fps").alias("fps"), F.min(order).alias("first")), "nodes")
     parts = nodes.select("node", F.slice("fps", 1, k).alias("fps"), F.slice("fps", k + 1, SKETCH_BITS // BITS).alias("wide"))
-    labels = components(near_links(parts, radius, VERIFY_BITS))
+    links = near_links(parts, radius, VERIFY_BITS)
+    labels = components(
+        verified(links, nodes.select("node", "first.row"), docs.select(row, text_or_empty().alias("text")))
+    )
     labelled = nodes.join(labels, "node", "left").select("first", F.coalesce("label", "node").alias("label"))
     firsts = labelled.groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row"))
     dropped = saved(prints.select("row").join(firsts, "row", "left_anti"), "dropped")

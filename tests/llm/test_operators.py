@@ -154,6 +154,36 @@ def test_sketch_estimates_similarity(shared):
     assert not simhash.set_sketch([], 5, 7).any()
 
 
+def test_near_duplicates_by_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r.doc_id: (r.text or "").encode().lower().split() for r in docs.collect()}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, w in texts.items()}
+    label = {i: i for i in sets}
+    for _ in range(3):
+        for a, b in combinations(sorted(sets), 2):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                label[a] = label[b] = min(label[a], label[b])
+    kept = {r.doc_id for r in simhash.drop_near_duplicates(docs).collect()}
+    assert kept == {i for i, x in label.items() if i == x}
+
+
+def test_links_are_verified_and_closest_first(spark):
+    text = [f"w{i}" for i in range(104)]  # 100 shingles
+    rows = [(1, text), (2, text[:84]), (3, text[:83]), (4, []), (5, ["a"]), (6, ["a"])]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "row long, text string")
+    nodes = docs.selectExpr("row * 10 AS node", "row")
+    links = spark.createDataFrame([(20, 10), (10, 20), (10, 30), (30, 20), (40, 10), (50, 60)], "a long, b long")
+    got = {tuple(r) for r in simhash.verified(links, nodes, docs).collect()}
+    assert got == {(10, 20), (20, 30), (50, 60)}  # similarity 0.8, 79 of 80, the same; not 0.79 or nothing
+
+    wide = np.zeros((4, 4), np.uint64)
+    wide[:, 0] = [0, 2**40 - 1, 2**20 - 1, 2**41 - 1]
+    same, forest = np.zeros(4, np.int64), simhash.Forest(np.arange(4))
+    assert not simhash.close_rows(same, same, same.astype(np.uint64), wide, 3, 42, forest).any()
+    pairs = {(int(x), int(y)) for a, b in forest.links for x, y in zip(a, b)}
+    assert len(pairs) == 3 and {(1, 3), (0, 2)} <= pairs
+
+
 def test_mix(docs, empty):
     rows = mixing.mix_documents(docs).collect()
     assert len(rows) == len(TEXTS) and all(r.taken <= 2 * r.size for r in rows)
