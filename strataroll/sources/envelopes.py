@@ -97,9 +97,10 @@ def read_record_lines(spark: SparkSession, path: str) -> DataFrame:
         , [ "b", 2 ]
         ] }
 
-    Returns ``source_file`` and ``record array<string>``. Several rows on one line are all read. A
-    row broken over lines, or ``data`` opened inside another line, raises an error. No line of
-    ``meta`` may start with an opening bracket.
+    Returns ``source_file`` and ``record array<string>``. Several rows on one line are all read, null ones
+    among them too. A row broken over lines, ``data`` opened inside another line, and a line that begins with
+    ``null``, which may be a row or not, raise an error. No line outside ``data`` may start with an
+    opening bracket: a line does not show which array it is in.
     """
     opens_data = r'^"data"\s*:\s*\['
     lines = spark.read.text(path).select(
@@ -110,13 +111,15 @@ def read_record_lines(spark: SparkSession, path: str) -> DataFrame:
     rows_text = F.when(line.startswith("["), line).when(
         line.startswith('"') & line.rlike(opens_data), F.regexp_replace(line, opens_data, "")
     )
-    # Closing the array makes every line an array of rows, with a null after a trailing comma. What
-    # follows the closing bracket is the document's own tail and is not parsed.
-    closing = F.when(line.endswith(","), "null]").otherwise("]")
+    # Closing the array makes every line an array of rows. What follows the closing bracket is the
+    # document's own tail and is not parsed.
     rows = F.from_json(
-        F.concat(F.lit("["), F.col("rows_text"), closing), "array<array<string>>", {"mode": "FAILFAST"}
+        F.concat(F.lit("["), F.regexp_replace("rows_text", r",\s*$", ""), F.lit("]")),
+        "array<array<string>>",
+        {"mode": "FAILFAST"},
     )
-    hides_data = F.col("rows_text").isNull() & line.rlike(r'(?<!\\)"data"\s*:\s*\[')
+    hides_rows = line.rlike(r'(?<!\\)"data"\s*:\s*\[|^null\s*(,|\]|$)')
+    hides_data = F.col("rows_text").isNull() & hides_rows
     broken = F.raise_error(F.lit("A document does not keep its data rows on lines of their own"))
     return (
         lines.select("source_file", "line", rows_text.alias("rows_text"))
@@ -124,6 +127,8 @@ def read_record_lines(spark: SparkSession, path: str) -> DataFrame:
             "source_file",
             F.when(hides_data, broken.cast("array<array<string>>")).otherwise(rows).alias("rows"),
         )
-        .select("source_file", F.explode("rows").alias("record"))
-        .filter(F.col("record").isNotNull())
+        # The outer generator implies no filter on the rows, which would parse each line again.
+        .select("source_file", F.posexplode_outer("rows").alias("at", "record"))
+        .filter(F.col("at").isNotNull())
+        .select("source_file", "record")
     )

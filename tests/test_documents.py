@@ -117,6 +117,28 @@ def test_other_row_layouts(spark, tmp_path):
     assert rows(fl.flatten_record_lines(records, docs, COLUMNS)) == sorted(FLAT, key=repr)
 
 
+def test_null_rows_are_kept_in_every_layout(spark, tmp_path):
+    head = '{"meta":\n' + json.dumps(document(None)["meta"]) + ',\n"data":[ null\n'
+    body = ", " + json.dumps(DATA[0]) + ", null,\n" + json.dumps(DATA[1]) + ",null\n, [], null ]}"
+    path = write(tmp_path, "a.json", head + body)
+    docs = env.read_envelopes(spark, path)
+    got = rows(fl.flatten_record_lines(env.read_record_lines(spark, path), docs, COLUMNS))
+    assert got == rows(fl.flatten(docs, COLUMNS)) and len(got) == 7
+
+
+@pytest.mark.parametrize("layout", ['"data" : [\n["a"]\n, null\n]}', '"data" : [\nnull ]}'])
+def test_lines_that_may_be_rows_or_not_are_an_error(spark, tmp_path, layout):
+    path = write(tmp_path, "a.json", '{"meta": {},\n' + layout)
+    with pytest.raises(Exception, match="lines of their own"):
+        env.read_record_lines(spark, path).collect()
+
+
+def test_lines_are_parsed_once(spark, tmp_path):
+    path = write(tmp_path, "a.json", '{"meta": {},\n"data" : [\n["a"]\n]}')
+    plan = env.read_record_lines(spark, path)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
 def test_cell_text_is_the_same_in_every_layout(spark, tmp_path):
     cells = '[ 1.10, 1E+3, {"a" : [ 1 ]}, true, 12345678901234567890, "1.10" ]'
     names = "abcdef"
