@@ -6,11 +6,14 @@ where fingerprints agree in enough bands of bits, which loses none: with b bands
 differ in r bits agree in b - r bands at least. Within such blocks a table holds the distances of
 each fingerprint to the pivots. By the triangle inequality two fingerprints are as far apart
 as any of their coordinates differ, so pairs with a larger maximum difference are discarded.
+
+The near-duplicate stage proposes pairs by bands of least hashes instead, as near there means a similarity of sets, which
+fingerprints of words don't bound: where an edit lies and how long the text is make no difference.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -30,6 +33,10 @@ _PIVOTS = np.random.default_rng(3).integers(0, 2**64, PIVOTS, dtype=np.uint64)
 SKETCH_BITS = 256
 _SHIFT, _FACTOR = np.random.default_rng(5).integers(0, 2**64, (2, SKETCH_BITS), dtype=np.uint64)
 _FACTOR |= np.uint64(1)
+#: Bands of least hashes that propose pairs. Sets of similarity s agree in a band with chance s^5, so
+#: those of 0.8 are missed by all forty with chance 1.3e-7, whatever differs between them.
+BANDS, BAND_ROWS = 40, 5
+_MIX = np.random.default_rng(7).integers(0, 2**64, (BANDS, BAND_ROWS), dtype=np.uint64) | np.uint64(1)
 #: Pairs held to be linked by distance before they are reduced to fewer than there are rows.
 HELD_PAIRS = 1 << 20
 #: Shingles hashed at once, so that long texts need no more memory.
@@ -58,42 +65,75 @@ def fingerprint(words: list[bytes], n: int, seed: int) -> np.uint64:
     return np.packbits(count * 2 > total, bitorder="little").view("<u8")[0]
 
 
-def set_sketch(words: list[bytes], n: int, seed: int) -> np.ndarray:
-    """SKETCH_BITS bits of the set of n-word shingles: of each of as many hashes, one bit of the least.
-
-    Two sets of similarity s differ in a part (1 - s) / 2 of the bits. Without words all are zero.
-    """
+def least_of_each(hashes: Iterable[np.ndarray]) -> np.ndarray:
+    """The least of all hashes under each of SKETCH_BITS orders."""
     least = np.full(SKETCH_BITS, 2**64 - 1, np.uint64)
-    for h in shingle_hashes(words, n, seed):
+    for h in hashes:
         for at in range(0, len(h), 1024):
             each = (h[None, at : at + 1024] ^ _SHIFT[:, None]) * _FACTOR[:, None]
             np.minimum(least, each.min(1), out=least)
+    return least
+
+
+def sketch_of(least: np.ndarray) -> np.ndarray:
     # A low bit of the product says nothing on which of them is the least.
-    bits = (least >> np.uint64(20)) & np.uint64(1) if words else np.zeros(SKETCH_BITS, np.uint64)
+    bits = (least >> np.uint64(20)) & np.uint64(1)
     return np.packbits(bits.astype(np.uint8), bitorder="little").view("<u8")
 
 
-def fingerprints(
-    docs: DataFrame,
-    kinds: list[tuple[int, int]],
-    *keep: Column,
-    text_col: str = "text",
-    sketch: tuple[int, int] | None = None,
-) -> DataFrame:
-    """The kept columns and ``fps array<bigint>``: a fingerprint for each (words a shingle, seed), then the sketch."""
+def set_sketch(words: list[bytes], n: int, seed: int) -> np.ndarray:
+    """SKETCH_BITS bits of the set of n-word shingles: of each of as many hashes, one bit of the least.
+
+    Two sets of similarity s differ in a part (1 - s) / 2 of the bits. Without words all are zero.
+    """
+    if not words:
+        return np.zeros(SKETCH_BITS // BITS, np.uint64)
+    return sketch_of(least_of_each(shingle_hashes(words, n, seed)))
+
+
+def band_keys(least: np.ndarray) -> np.ndarray:
+    """A number for each band, equal where all its least hashes are."""
+    return (least[: BANDS * BAND_ROWS].reshape(BANDS, BAND_ROWS) * _MIX).sum(1, dtype=np.uint64)
+
+
+def shingle_set(words: list[bytes], n: int, seed: int) -> np.ndarray:
+    """The hashes of the set of n-word shingles, sorted."""
+    found = np.zeros(0, np.uint64)
+    for h in shingle_hashes(words, n, seed):
+        found = np.unique(np.concatenate([found, h]))
+    return found
+
+
+def by_words(docs: DataFrame, of_words: Callable[[list[bytes]], tuple], fields: str, *keep: Column, text_col: str = "text") -> DataFrame:
+    """The kept columns and the ``fields`` that a function gives for the words of each text."""
     rows = docs.select(*keep, text_or_empty(text_col).alias("text"))
+    names = [f.strip().split(" ")[0] for f in fields.split(",")]
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = []
-        for text in texts_of(batch, "text"):
-            words = text.encode().lower().split()
-            fps = [int(fingerprint(words, n, seed).astype(np.int64)) for n, seed in kinds]
-            found.append(fps + (set_sketch(words, *sketch).astype(np.int64).tolist() if sketch else []))
-        fps = pa.array(found, pa.list_(pa.int64()))
-        return pa.RecordBatch.from_arrays([*batch.columns[:-1], fps], [*batch.schema.names[:-1], "fps"])
+        found = [of_words(text.encode().lower().split()) for text in texts_of(batch, "text")]
+        kinds = [pa.list_(pa.int64()) if "array" in f else pa.int64() for f in fields.split(",")]
+        columns = [pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], [*batch.schema.names[:-1], *names])
+
+    kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
+    return by_batch(rows, step, f"{kept}{fields}")
+
+
+def fingerprints(docs: DataFrame, n: int, seed: int, *keep: Column) -> DataFrame:
+    """The kept columns and ``fp bigint``."""
+    return by_words(docs, lambda words: (int(fingerprint(words, n, seed).astype(np.int64)),), "fp bigint", *keep)
+
+
+def sketches(docs: DataFrame, n: int, seed: int, *keep: Column) -> DataFrame:
+    """The kept columns and, of the set of n-word shingles, its digest ``node``, ``bands`` and sketch ``wide``."""
 
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
-    return by_batch(rows, step, f"{fields}fps array<bigint>")
+    def of_words(words: list[bytes]) -> tuple:
+        found = shingle_set(words, n, seed)
+        least = least_of_each([found])
+        node = np.uint64(xxh64_intdigest(found.tobytes())).astype(np.int64)
+        return int(node), band_keys(least).astype(np.int64).tolist(), sketch_of(least).astype(np.int64).tolist()
+
+    return by_words(docs, of_words, "node bigint, bands array<bigint>, wide array<bigint>", *keep)
 
 
 def band_masks(radius: int) -> list[int]:
@@ -158,7 +198,11 @@ def close_rows(
     """
     n, forest = len(key), forest or Forest(np.arange(len(key)))
     held: list[tuple[np.ndarray, np.ndarray]] = []  # pairs not so close that nothing can be closer
-    table = np.bitwise_count(fp[:, None] ^ _PIVOTS[None, :]).astype(np.int8)
+    table, reach = np.bitwise_count(fp[:, None] ^ _PIVOTS[None, :]).astype(np.int16), radius
+    if wide.shape[1] and n:
+        # Rows as pivots are near to some of their own block and so tell them apart.
+        pivots, reach = np.linspace(0, n - 1, PIVOTS).astype(np.int64), wide_radius
+        table = np.stack([np.bitwise_count(wide ^ wide[p]).sum(1, dtype=np.int16) for p in pivots], 1)
     alive = np.arange(n)
     for shift in range(1, n):
         alive = alive[alive + shift < n]
@@ -168,7 +212,7 @@ def close_rows(
         a = alive[(side[alive] == 0) | (side[alive] != side[alive + shift])]
         a = a[forest.label[a] != forest.label[a + shift]]
         for coordinates in (slice(0, 4), slice(4, PIVOTS)):  # most pairs go with the first few
-            a = a[np.abs(table[a, coordinates] - table[a + shift, coordinates]).max(1, initial=0) <= radius]
+            a = a[np.abs(table[a, coordinates] - table[a + shift, coordinates]).max(1, initial=0) <= reach]
         a = a[np.bitwise_count(fp[a] ^ fp[a + shift]) <= radius]
         if wide.shape[1] and len(a):
             distance = wide_distance(wide, a, a + shift)
@@ -186,34 +230,37 @@ def close_rows(
     return forest.label
 
 
-def near_links(nodes: DataFrame, radius: int, wide_radius: int = 0) -> DataFrame:
+def by_masks(nodes: DataFrame, radius: int) -> DataFrame:
+    """``node, fp, key`` for each choice of bands of the fingerprint of ``nodes`` (``node bigint, fp bigint``)."""
+    keys = [
+        F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(_signed(m)).cast("bigint"))) for i, m in enumerate(band_masks(radius))
+    ]
+    return nodes.select("node", "fp", F.explode(F.array(*keys)).alias("key"))
+
+
+def by_bands(nodes: DataFrame) -> DataFrame:
+    """``node, wide0 to wide3, key`` for each band of ``nodes`` (``node, bands, wide``)."""
+    split = [F.col("wide")[i].alias(f"wide{i}") for i in range(SKETCH_BITS // BITS)]
+    return nodes.select("node", *split, F.explode("bands").alias("key"))
+
+
+def near_links(keyed: DataFrame, radius: int, wide_radius: int = 0) -> DataFrame:
     """Links ``a, b`` that connect what the near pairs connect.
 
-    ``nodes`` has ``node bigint, fps array<bigint>, wide array<bigint>``: pairs are near if
-    one of their fingerprints in the same place differs in at most ``radius`` bits and, unless ``wide_radius``
-    is 0, their wide ones of SKETCH_BITS in at most so many. A block gives fewer links than it has rows,
-    those of the closest pairs by the wide fingerprints.
+    ``keyed`` has ``node, key`` and ``fp`` or a sketch in ``wide0`` and so on, all bigint. Pairs that share
+    a key are near if the fingerprints differ in ``radius`` bits at most and the sketches in ``wide_radius``.
+    A block gives fewer links than it has rows, those of the closest pairs by the sketches.
     """
-    masks = band_masks(radius)
-    keys = F.array(
-        *[
-            F.xxhash64(F.lit(i), F.col("place"), F.col("fp").bitwiseAND(F.lit(_signed(m)).cast("bigint")))
-            for i, m in enumerate(masks)
-        ]
-    )
-    wides = [f"wide{i}" for i in range(SKETCH_BITS // BITS if wide_radius else 0)]
-    split = [F.col("wide")[i].alias(w) for i, w in enumerate(wides)]
-    each = nodes.select("node", F.posexplode("fps").alias("place", "fp"), *split)
-    keyed = each.select("node", "fp", *wides, F.explode(keys).alias("key"))
+    wides = [c for c in keyed.columns if c.startswith("wide")]
+    carried = [c for c in keyed.columns if c not in ("node", "key")]
     large = keyed.groupBy("key").count().filter(F.col("count") > BLOCK_ROWS)
     pieces = F.coalesce(F.ceil(F.col("count") / (BLOCK_ROWS // 2)), F.lit(1)).cast("int")
     cut = keyed.join(saved(large, "large-blocks"), "key", "left").withColumn("pieces", pieces)
     cut = cut.withColumn("mine", F.pmod(F.xxhash64("node", "key"), F.col("pieces")).cast("int"))
     other = F.sequence(F.lit(0), F.col("pieces") - 1)
-    paired = cut.select("node", "fp", *wides, "key", "mine", "pieces", F.explode(other).alias("other")).select(
+    paired = cut.select("node", *carried, "key", "mine", "pieces", F.explode(other).alias("other")).select(
         "node",
-        "fp",
-        *wides,
+        *carried,
         F.when(F.col("pieces") == 1, F.col("key"))
         .otherwise(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")))
         .alias("key"),
@@ -240,7 +287,7 @@ def near_links(nodes: DataFrame, radius: int, wide_radius: int = 0) -> DataFrame
         if not rows or rows.num_rows < 2:
             return
         rows = rows.combine_chunks()
-        node, fp, key = (rows.column(c).to_numpy() for c in ("node", "fp", "key"))
+        node, key = (rows.column(c).to_numpy() for c in ("node", "key"))
         same = np.r_[key[1:] == key[:-1], False]
         some = np.flatnonzero(same | np.r_[False, same[:-1]])  # rows that are not alone in their block
         if not len(some):
@@ -249,8 +296,9 @@ def near_links(nodes: DataFrame, radius: int, wide_radius: int = 0) -> DataFrame
         for i, w in enumerate(wides):
             wide[:, i] = rows.column(w).to_numpy()[some].astype(np.uint64)
         side = rows.column("side").to_numpy()[some]
+        fp = rows.column("fp").to_numpy()[some].astype(np.uint64) if "fp" in carried else np.zeros(len(some), np.uint64)
         node, forest = node[some], Forest(np.arange(len(some)))
-        close_rows(key[some], side, fp[some].astype(np.uint64), wide, radius, wide_radius, forest)
+        close_rows(key[some], side, fp, wide, radius, wide_radius, forest)
         links = [pa.array(node[np.concatenate(end)]) for end in zip(*forest.links)]
         yield pa.RecordBatch.from_arrays(links, ["a", "b"])
 
@@ -267,11 +315,9 @@ def simhash_components(docs: DataFrame, n: int = 3, seed: int = 42, radius: int
     unless there is no other id in it. Repeated rows are kept each. Empty tables give no rows.
     """
     doc_id = F.col("doc_id").cast("bigint").alias("doc_id")
-    prints = saved(fingerprints(docs, [(n, seed)], doc_id).select("doc_id", F.col("fps")[0].alias("fp")), "fingerprints")
+    prints = saved(fingerprints(docs, n, seed, doc_id), "fingerprints")
     nodes = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    links = near_links(
-        nodes.select(F.col("fp").alias("node"), F.array("fp").alias("fps"), F.array().cast("array<bigint>").alias("wide")), radius
-    )
+    links = near_links(by_masks(nodes.select(F.col("fp").alias("node"), "fp"), radius), radius)
     labels = components(links).select(F.col("node").alias("fp"), "label")
     labelled = nodes.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     names = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
@@ -281,11 +327,11 @@ def simhash_components(docs: DataFrame, n: int = 3, seed: int = 42, radius: int
     )
 
 
-#: For the near-duplicate stage. Two 64-bit fingerprints of single words propose pairs, since few
-#: edits move them little. A sketch of the set of five-word shingles discards most of the others: sets of
-#: similarity 0.8 differ in 26 of its 256 bits, give or take 5, and of similarity 0.6 in 51.
-PROPOSE, VERIFY = [(1, 42), (1, 43)], (5, 1)
-VERIFY_BITS = 42
+#: For the near-duplicate stage: words of a shingle, and seed. A sketch of the set discards most of the proposed
+#: pairs: sets of similarity 0.8 differ in 26 of its 256 bits, give or take 5, and of similarity 0.6 in 51.
+VERIFY = (5, 1)
+#: Sets of 0.8 differ in more with a chance of about 1e-7.
+VERIFY_BITS = 52
 #: The least hashes of a set that verify a pair: all of them for sets of so many shingles.
 LEAST = 256
 
@@ -321,24 +367,21 @@ def verified(links: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     return links.join(of("a"), "a").join(of("b"), "b").filter(alike).select("a", "b")
 
 
-def drop_near_duplicates(docs: DataFrame, radius: int = 3) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` without the documents that are near another of smaller id, directly or through others.
 
-    Near: within ``radius`` bits in a fingerprint of single words, and similar by 0.8 or more in
-    sets of five-word shingles, see ``verified``. Of each group the smallest id stays (null last, then the
+    Near: similar by 0.8 or more in sets of five-word shingles, see ``verified``. Pairs are proposed by bands of least
+    hashes. Of each group the smallest id stays (null last, then the
     first row). Null and empty texts are one group. ``docs`` must be a stored table or another plan
     that gives its rows in the same places each time, as it is read three times. All columns stay.
     """
     row = F.monotonically_increasing_id().alias("row")
-    k = len(PROPOSE)
     doc_id = F.col("doc_id").cast("bigint").alias("doc_id")
-    prints = saved(
-        fingerprints(docs, PROPOSE, doc_id, row, sketch=VERIFY).withColumn("node", F.xxhash64("fps")), "fingerprints"
-    )
+    prints = saved(sketches(docs, *VERIFY, doc_id, row), "fingerprints")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
-    nodes = saved(prints.groupBy("node").agg(F.first("fps").alias("fps"), F.min(order).alias("first")), "nodes")
-    parts = nodes.select("node", F.slice("fps", 1, k).alias("fps"), F.slice("fps", k + 1, SKETCH_BITS // BITS).alias("wide"))
-    links = near_links(parts, radius, VERIFY_BITS)
+    alike = prints.groupBy("node").agg(F.first("bands").alias("bands"), F.first("wide").alias("wide"), F.min(order).alias("first"))
+    nodes = saved(alike, "nodes")
+    links = near_links(by_bands(nodes), 0, VERIFY_BITS)
     labels = components(
         verified(links, nodes.select("node", "first.row"), docs.select(row, text_or_empty().alias("text")))
     )

@@ -289,3 +289,36 @@ def test_pipeline(spark):
         docs = saved(stage(spark, docs, d), "stage")
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert {r.doc_id for r in corpus_pipeline.run(spark, d).collect()} == {r.doc_id for r in docs.collect()}
+
+
+@pytest.mark.parametrize("n_words", [40, 120, 600])
+@pytest.mark.parametrize("kind", ["replaced", "appended", "spread"])
+def test_near_pairs_are_proposed_whatever_the_edit(n_words, kind):
+    random = np.random.default_rng(n_words)
+    for at in range(30):
+        words = [b"w%d-%d" % (at, random.integers(10_000)) for _ in range(n_words)]
+        other, k = list(words), n_words // 11
+        if kind == "replaced":
+            other[-k:] = [b"x%d" % i for i in range(k)]
+        elif kind == "appended":
+            other += [b"x%d" % i for i in range(n_words // 6)]
+        else:
+            for i in range(max(1, n_words // 60)):
+                other[i * 60 + 2] = b"x%d" % i
+        sets = [simhash.shingle_set(w, *simhash.VERIFY) for w in (words, other)]
+        shared = len(np.intersect1d(*sets))
+        assert 0.8 <= shared / (len(sets[0]) + len(sets[1]) - shared) < 1
+        least = [simhash.least_of_each([s]) for s in sets]
+        assert (simhash.band_keys(least[0]) == simhash.band_keys(least[1])).any()
+        assert np.bitwise_count(simhash.sketch_of(least[0]) ^ simhash.sketch_of(least[1])).sum() <= simhash.VERIFY_BITS
+
+
+def test_replaced_and_appended_copies_are_dropped(spark):
+    random = np.random.default_rng(11)
+    rows = []
+    for i in range(0, 80, 2):
+        words = [f"w{random.integers(10_000)}" for _ in range(60)]
+        other = [*words[:20], *(f"x{i}-{k}" for k in range(2)), *words[22:]] if i % 4 else [*words, *(f"y{i}-{k}" for k in range(10))]
+        rows += [(i, " ".join(words)), (i + 1, " ".join(other))]
+    docs = saved(spark.createDataFrame(rows, "doc_id long, text string"), "edited")
+    assert {r.doc_id for r in simhash.drop_near_duplicates(docs).collect()} == set(range(0, 80, 2))
