@@ -230,6 +230,28 @@ def close_rows(
     return forest.label
 
 
+def apart_rows(
+    key: np.ndarray, side: np.ndarray, wide: np.ndarray, label: np.ndarray, wide_radius: int, limit: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Near pairs of rows of different labels, at most ``limit`` for each first row, and first rows that have more."""
+    used, more = np.zeros(len(key), np.int64), np.zeros(len(key), bool)
+    pairs = [(used[:0], used[:0])]
+    alive = np.arange(len(key))
+    for shift in range(1, len(key)):
+        alive = alive[alive + shift < len(key)]
+        alive = alive[key[alive] == key[alive + shift]]
+        if not len(alive):
+            break
+        a = alive[(label[alive] != label[alive + shift]) & ~more[alive]]
+        a = a[(side[a] == 0) | (side[a] != side[a + shift])]
+        a = a[wide_distance(wide, a, a + shift) <= wide_radius]
+        more[a[used[a] == limit]] = True
+        a = a[used[a] < limit]
+        used[a] += 1
+        pairs.append((a, a + shift))
+    return *map(np.concatenate, zip(*pairs)), np.flatnonzero(more)
+
+
 def by_masks(nodes: DataFrame, radius: int) -> DataFrame:
     """``node, fp, key`` for each choice of bands of the fingerprint of ``nodes`` (``node bigint, fp bigint``)."""
     keys = [
@@ -239,17 +261,20 @@ def by_masks(nodes: DataFrame, radius: int) -> DataFrame:
 
 
 def by_bands(nodes: DataFrame) -> DataFrame:
-    """``node, wide0 to wide3, key`` for each band of ``nodes`` (``node, bands, wide``)."""
+    """``node, wide0 to wide3, key`` for each band of ``nodes`` (``node, bands, wide``), and the ``label`` if there is one."""
     split = [F.col("wide")[i].alias(f"wide{i}") for i in range(SKETCH_BITS // BITS)]
-    return nodes.select("node", *split, F.explode("bands").alias("key"))
+    label = [c for c in nodes.columns if c == "label"]
+    return nodes.select("node", *label, *split, F.explode("bands").alias("key"))
 
 
-def near_links(keyed: DataFrame, radius: int, wide_radius: int = 0) -> DataFrame:
+def near_links(keyed: DataFrame, radius: int, wide_radius: int = 0, limit: int = 0) -> DataFrame:
     """Links ``a, b`` that connect what the near pairs connect.
 
     ``keyed`` has ``node, key`` and ``fp`` or a sketch in ``wide0`` and so on, all bigint. Pairs that share
     a key are near if the fingerprints differ in ``radius`` bits at most and the sketches in ``wide_radius``.
-    A block gives fewer links than it has rows, those of the closest pairs by the sketches.
+    A block gives fewer links than it has rows, those of the closest pairs by the sketches. With a ``limit`` it gives
+    instead pairs of rows of different ``label``, that many for a row at most, and a link of a row to itself
+    where it has more.
     """
     wides = [c for c in keyed.columns if c.startswith("wide")]
     carried = [c for c in keyed.columns if c not in ("node", "key")]
@@ -296,8 +321,15 @@ def near_links(keyed: DataFrame, radius: int, wide_radius: int = 0) -> DataFrame
         for i, w in enumerate(wides):
             wide[:, i] = rows.column(w).to_numpy()[some].astype(np.uint64)
         side = rows.column("side").to_numpy()[some]
+        node = node[some]
+        if limit:
+            label = rows.column("label").to_numpy()[some]
+            a, b, more = apart_rows(key[some], side, wide, label, wide_radius, limit)
+            ends = (np.concatenate([a, more]), np.concatenate([b, more]))
+            yield pa.RecordBatch.from_arrays([pa.array(node[end]) for end in ends], ["a", "b"])
+            return
         fp = rows.column("fp").to_numpy()[some].astype(np.uint64) if "fp" in carried else np.zeros(len(some), np.uint64)
-        node, forest = node[some], Forest(np.arange(len(some)))
+        forest = Forest(np.arange(len(some)))
         close_rows(key[some], side, fp, wide, radius, wide_radius, forest)
         links = [pa.array(node[np.concatenate(end)]) for end in zip(*forest.links)]
         yield pa.RecordBatch.from_arrays(links, ["a", "b"])
@@ -332,45 +364,79 @@ def simhash_components(docs: DataFrame, n: int = 3, seed: int = 42, radius: int
 VERIFY = (5, 1)
 #: Sets of 0.8 differ in more with a chance of about 1e-7.
 VERIFY_BITS = 52
-#: The least hashes of a set that verify a pair: all of them for sets of so many shingles.
-LEAST = 256
+#: Partners of a row that are verified in the first round after the forests; so many times as many in each further one.
+PARTNERS = 16
 
 
-def least_hashes(words: list[bytes], n: int, seed: int) -> np.ndarray:
-    """The LEAST smallest 32-bit hashes of the set of n-word shingles, sorted."""
-    least = np.zeros(0, np.int32)
-    for h in shingle_hashes(words, n, seed):
-        least = np.unique(np.concatenate([least, (h >> np.uint64(32)).astype(np.uint32).view(np.int32)]))[:LEAST]
-    return least
+def shingle_sets(ends: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``node, shingles array<bigint>``: the whole set of each of the ``ends`` (``node``).
+
+    ``nodes`` has ``node, row``, ``docs`` has ``row, text``.
+    """
+    texts = docs.join(ends.join(nodes, "node"), "row").select("node", "text")
+    of_words = lambda words: (shingle_set(words, *VERIFY).astype(np.int64).tolist(),)
+    return saved(by_words(texts, of_words, "shingles array<bigint>", F.col("node")), "shingle-sets")
+
+
+def in_order(links: DataFrame) -> DataFrame:
+    return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def ends_of(links: DataFrame) -> DataFrame:
+    return links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+
+def alike(links: DataFrame, sets: DataFrame) -> DataFrame:
+    """The links whose sets have a similarity of 0.8 or more: shared / (all of both - shared) >= 4 / 5."""
+    of = lambda end: sets.select(F.col("node").alias(end), F.col("shingles").alias(f"of_{end}"))
+    shared = F.size(F.array_intersect("of_a", "of_b"))
+    near = shared * 9 >= (F.size("of_a") + F.size("of_b")) * 4
+    return links.join(of("a"), "a").join(of("b"), "b").filter(near).select("a", "b")
 
 
 def verified(links: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The links ``a, b`` whose ends have a similarity of 0.8 or more.
+    """The links ``a, b`` whose ends have a similarity of 0.8 or more, by their whole sets of shingle hashes.
 
-    ``nodes`` has ``node, row``, ``docs`` has ``row, text``. The least hashes of both sets that are in both are
-    counted: exact where the union has LEAST shingles at most, else give or take 0.025. Only documents with
-    links meet, with at most LEAST hashes each.
+    ``nodes`` has ``node, row``, ``docs`` has ``row, text``. Only documents with links meet.
     """
-    links = saved(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-pairs")
-    ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node")
+    links = saved(in_order(links), "near-pairs")
+    return alike(links, shingle_sets(ends_of(links), nodes, docs))
 
-    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        least = [least_hashes(text.encode().lower().split(), *VERIFY) for text in texts_of(batch, "text")]
-        return pa.RecordBatch.from_arrays([batch.column("row"), pa.array(least, pa.list_(pa.int32()))], ["row", "least"])
 
-    sets = by_batch(docs, step, "row bigint, least array<int>").join(ends, "row").select("node", "least")
-    sets = saved(sets, "least-hashes")
-    of = lambda end: sets.select(F.col("node").alias(end), F.col("least").alias(f"of_{end}"))
-    both = F.array_intersect("of_a", "of_b")
-    union = F.slice(F.array_sort(F.array_union("of_a", "of_b")), 1, LEAST)
-    alike = F.size(F.array_intersect(union, both)) * 5 >= F.size(union) * 4
-    return links.join(of("a"), "a").join(of("b"), "b").filter(alike).select("a", "b")
+def verified_links(parts: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Verified links that connect all that the verified ones of all proposed pairs connect.
+
+    ``parts`` has ``node, bands, wide``. First the forests of the blocks are verified. Where a link of them
+    fails, the proposed pairs between rows that are still apart follow in rounds until none is left.
+    """
+    seen = saved(in_order(near_links(by_bands(parts), 0, VERIFY_BITS)), "near-pairs")
+    sets = shingle_sets(ends_of(seen), nodes, docs)
+    good = saved(alike(seen, sets), "near-links")
+    if seen.join(good, ["a", "b"], "left_anti").isEmpty():
+        return good
+
+    def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+        return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+    labels = components(good)
+    # Any proposed pair lies within what the forests connect, failed links included.
+    within = labelled(components(seen).select("node", F.col("label").alias("within")), labels)
+    apart = within.groupBy("within").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
+    left = saved(parts.join(within.join(apart, "within", "left_semi").select("node"), "node"), "rows-apart")
+    limit = PARTNERS
+    while True:
+        found = saved(in_order(near_links(by_bands(labelled(left, labels)), 0, VERIFY_BITS, limit)), "near-pairs")
+        new = saved(found.filter("a != b").join(seen, ["a", "b"], "left_anti"), "new-pairs")
+        good = good.union(saved(alike(new, sets), "near-links"))
+        if found.filter("a = b").isEmpty():
+            return good
+        seen, limit, labels = seen.union(new), limit * PARTNERS, components(good)
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` without the documents that are near another of smaller id, directly or through others.
 
-    Near: similar by 0.8 or more in sets of five-word shingles, see ``verified``. Pairs are proposed by bands of least
+    Near: similar by 0.8 or more in whole sets of five-word shingles, see ``verified_links``. Pairs are proposed by bands of least
     hashes. Of each group the smallest id stays (null last, then the
     first row). Null and empty texts are one group. ``docs`` must be a stored table or another plan
     that gives its rows in the same places each time, as it is read three times. All columns stay.
@@ -381,10 +447,10 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
     alike = prints.groupBy("node").agg(F.first("bands").alias("bands"), F.first("wide").alias("wide"), F.min(order).alias("first"))
     nodes = saved(alike, "nodes")
-    links = near_links(by_bands(nodes), 0, VERIFY_BITS)
-    labels = components(
-        verified(links, nodes.select("node", "first.row"), docs.select(row, text_or_empty().alias("text")))
+    links = verified_links(
+        nodes.select("node", "bands", "wide"), nodes.select("node", "first.row"), docs.select(row, text_or_empty().alias("text"))
     )
+    labels = components(links)
     labelled = nodes.join(labels, "node", "left").select("first", F.coalesce("label", "node").alias("label"))
     firsts = labelled.groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row"))
     dropped = saved(prints.select("row").join(firsts, "row", "left_anti"), "dropped")

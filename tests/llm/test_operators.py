@@ -322,3 +322,32 @@ def test_replaced_and_appended_copies_are_dropped(spark):
         rows += [(i, " ".join(words)), (i + 1, " ".join(other))]
     docs = saved(spark.createDataFrame(rows, "doc_id long, text string"), "edited")
     assert {r.doc_id for r in simhash.drop_near_duplicates(docs).collect()} == set(range(0, 80, 2))
+
+
+def test_real_link_is_found_after_a_false_one_failed(spark):
+    words = [f"w{i}" for i in range(404)]  # 400 shingles
+    texts = {1: words, 2: [*words[:340], *(f"x{i}" for i in range(20))], 3: [f"y{i}" for i in range(50)]}
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "row long, text string")
+    # By the sketches 1 and 2 are both nearest to 3.
+    rows = [(i, [7], [w, 0, 0, 0]) for i, w in ((1, 0), (2, 2**40 - 1), (3, 1))]
+    parts = spark.createDataFrame(rows, "node long, bands array<long>, wide array<long>")
+    first = {tuple(r) for r in simhash.in_order(simhash.near_links(simhash.by_bands(parts), 0, 52)).collect()}
+    assert first == {(1, 3), (2, 3)}
+    assert {tuple(r) for r in simhash.verified_links(parts, docs.selectExpr("row AS node", "row"), docs).collect()} == {(1, 2)}
+
+
+def test_partners_beyond_the_limit_are_marked():
+    same = np.zeros(5, np.int64)
+    wide = np.zeros((5, 4), np.uint64)
+    a, b, more = simhash.apart_rows(same, same, wide, np.array([1, 1, 2, 3, 4]), 52, 2)
+    assert {*zip(a.tolist(), b.tolist())} == {(0, 2), (0, 3), (1, 2), (1, 3), (2, 3), (2, 4), (3, 4)} and more.tolist() == [0, 1]
+    assert not len(simhash.apart_rows(same, same, wide, np.arange(5), 52, 4)[2])
+
+
+def test_long_sets_are_verified_whole(spark):
+    words = [f"w{i}" for i in range(4004)]
+    rows = [(k, " ".join(words[: n + 4])) for k, n in enumerate((4000, 3200, 3199, 3201))]
+    docs = spark.createDataFrame(rows, "row long, text string")
+    links = spark.createDataFrame([(0, 1), (0, 2), (0, 3)], "a long, b long")
+    got = {tuple(r) for r in simhash.verified(links, docs.selectExpr("row AS node", "row"), docs).collect()}
+    assert got == {(0, 1), (0, 3)}
