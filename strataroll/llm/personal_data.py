@@ -4,7 +4,7 @@
 2. Trees learn from a bounded sample which candidates the patterns confirm, from the format of the
    candidate and the words around it. What the patterns check beyond form (check digits, ranges) is no feature, so
    that a number in the place of a card number scores like one.
-3. On another sample a threshold for each kind is the lowest score from which a set part is confirmed.
+3. On all candidates not learned from, a threshold for each kind is the lowest score from which a set part is confirmed.
 4. Candidates above it that no pattern's span touches are added, the best first.
 """
 
@@ -41,7 +41,7 @@ CUES = (
     ("card", "visa", "credit", "paid", "payment"),
     ("phone", "call", "tel", "fax", "mobile"),
 )
-#: Candidates to learn from, about, and as many to set thresholds by.
+#: Candidates to learn from, about; half of all, if those are fewer.
 SAMPLE = 20_000
 #: Part of the candidates from the threshold up that the patterns must confirm.
 CONFIRMED = 0.95
@@ -177,7 +177,7 @@ def find_candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def thresholds(scored: DataFrame) -> dict[int, float]:
-    """By kind the lowest score, in hundredths, from which at least CONFIRMED of the sample is confirmed."""
+    """By kind the lowest score, in hundredths, from which at least CONFIRMED of the candidates are confirmed."""
     bins = scored.groupBy("kind", F.floor(F.col("score") * 100).cast("int").alias("bin"))
     counted = bins.agg(F.sum("label").alias("yes"), F.count("*").alias("n")).collect()
     out = {}
@@ -199,8 +199,8 @@ def chosen_candidates(found: DataFrame) -> DataFrame | None:
     part = F.pmod(F.xxhash64("row", "start", "end", "kind", F.lit(SEED)), F.lit(1_000_000)) / 1_000_000
     share = min(0.5, SAMPLE / total)
     vector = array_to_vector(F.col("features").cast("array<double>"))
-    sample = saved(each.filter(part < 2 * share).withColumn("learn", part < share), "personal-sample")
-    train = sample.filter("learn").select("label", vector.alias("vector")).coalesce(4).cache()
+    sample = saved(each.filter(part < share), "personal-sample")
+    train = sample.select("label", vector.alias("vector")).coalesce(4).cache()
     try:
         if train.select("label").distinct().count() < 2:
             return None
@@ -209,17 +209,16 @@ def chosen_candidates(found: DataFrame) -> DataFrame | None:
     finally:
         train.unpersist()
 
-    def scored(rows: DataFrame) -> DataFrame:
-        with_scores = model.transform(rows.withColumn("vector", vector))
-        return with_scores.withColumn("score", vector_to_array("probability")[1])
-
-    least = thresholds(scored(sample.filter("NOT learn")))
+    with_scores = model.transform(each.withColumn("learned", part < share).withColumn("vector", vector))
+    score = vector_to_array("probability")[1].alias("score")
+    scored = saved(with_scores.select("row", "kind", "start", "end", "label", "learned", score), "personal-scores")
+    least = thresholds(scored.filter("NOT learned"))
     if not least:
         return None
     above = F.lit(False)
     for kind, score in sorted(least.items()):
         above = above | ((F.col("kind") == kind) & (F.col("score") >= score))
-    return scored(each.filter("label = 0")).filter(above).select("row", "kind", "start", "end", "score")
+    return scored.filter("label = 0").filter(above).select("row", "kind", "start", "end", "score")
 
 
 def added(base: list[Span], more: list[tuple[int, int, int, float]]) -> list[Span]:

@@ -351,3 +351,19 @@ def test_long_sets_are_verified_whole(spark):
     links = spark.createDataFrame([(0, 1), (0, 2), (0, 3)], "a long, b long")
     got = {tuple(r) for r in simhash.verified(links, docs.selectExpr("row AS node", "row"), docs).collect()}
     assert got == {(0, 1), (0, 3)}
+
+
+def test_thresholds_cover_kinds_that_a_sample_lacks(spark, monkeypatch):
+    texts = [f"mail a{i}@example.com or b{i} (at) example.com" for i in range(300)] + ["server 10.0.0.1"]
+    docs = saved(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "rare-kind")
+    seen = {}
+
+    def spy(scored):
+        seen["n"], seen["least"] = scored.count(), whole(scored)
+        return seen["least"]
+
+    whole = personal_data.thresholds
+    monkeypatch.setattr(personal_data, "thresholds", spy)
+    monkeypatch.setattr(personal_data, "SAMPLE", 20)
+    assert personal_data.find_personal_data(docs).count() == len(texts)
+    assert seen["n"] > 500 and {0, 1} <= set(seen["least"])  # 601 candidates, about 20 of them learned from
