@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from strataroll.llm.common import text_or_empty, texts_of
 
 Q, EDITS = 8, 0.08
-SEGMENT, STEP = 100, 50
-#: Shorter items prove nothing where they are found.
+#: The shortest passage of a longer item that is found wherever it begins: half a step is within its edits.
+SEGMENT, STEP = 64, 8
+#: Shorter items are found whole and exactly only, as words of their own.
 LEAST_BYTES = 30
 #: Bytes of items that are searched for in one pass and sent to the executors; more take more passes.
 PASS_BYTES = 1 << 20
@@ -55,31 +56,61 @@ class Index:
     """Segments of the items of a pass, and where their q-grams are."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.items = [(i, d) for i, t in items if len(d := folded(t)) >= LEAST_BYTES]
-        self.parts = [(n, d[a:b]) for n, (_, d) in enumerate(self.items) for a, b in segments(d)]
-        codes = [grams(d) for _, d in self.parts]
+        self.items = [(i, d) for i, t in items if (d := folded(t)).strip()]
+        self.short = self._short()
+        sizes = np.array([len(d) if len(d) >= LEAST_BYTES else 0 for _, d in self.items], np.int64)
+        codes = [grams(d if size else b"") for (_, d), size in zip(self.items, sizes, strict=True)]
         lengths = np.array([len(c) for c in codes], np.int64)
-        part = np.repeat(np.arange(len(codes)), lengths)
-        place = np.concatenate([np.arange(n) for n in lengths]) if codes else part
+        item = np.repeat(np.arange(len(codes)), lengths)
+        place = np.concatenate([np.arange(n) for n in lengths]) if codes else item
         code = np.concatenate(codes) if codes else np.zeros(0, np.uint64)
         order = np.argsort(code, kind="stable")
-        self.code, self.part, self.place = code[order], part[order], place[order]
+        self.code, self.item, self.place = code[order], item[order], place[order]
         bits = min(26, max(10, int(len(code)).bit_length() + 6))
         self.shift = np.uint64(64 - bits)
         self.there = np.zeros(1 << bits, bool)
         self.there[(code * HASH) >> self.shift] = True
-        self.edits = np.array([int(EDITS * len(d)) for _, d in self.parts], np.int64)
-        self.least = lengths - Q * self.edits
-        self.fewest = int(self.least.min()) if len(codes) else 0
-        self.widest = int((lengths + 2 * self.edits).max()) if len(codes) else 0
+        within = np.minimum(sizes, SEGMENT)  # bytes of a segment of each item
+        self.edits = (EDITS * within).astype(np.int64)
+        self.least = within - Q + 1 - Q * self.edits
+        self.fewest = int(self.least[sizes > 0].min(initial=1 << 30))
+        self.widest = int((within - Q + 1 + 2 * self.edits).max(initial=0))
+        self.longest = int(sizes.max(initial=0))
+
+    def _short(self) -> list[tuple[np.uint64, np.ndarray, np.ndarray, np.ndarray]]:
+        """Of the short items by the length of their beginnings, Q at most: mask, beginnings, items, and which may be."""
+        out = []
+        for k in range(1, Q + 1):
+            mine = [n for n, (_, d) in enumerate(self.items) if len(d) < LEAST_BYTES and min(len(d), Q) == k]
+            if mine:
+                code = np.array([int.from_bytes(self.items[n][1][:k], "little") for n in mine], np.uint64)
+                order, there = np.argsort(code, kind="stable"), np.zeros(1 << 16, bool)
+                there[(code * HASH) >> np.uint64(48)] = True
+                out.append((np.uint64((1 << 8 * k) - 1), code[order], np.array(mine)[order], there))
+        return out
+
+    def search_short(self, data: bytes) -> Iterator[tuple[int, int, int, int]]:
+        if not self.short:
+            return
+        every = grams(data + bytes(Q - 1))
+        for mask, codes, items, there in self.short:
+            code = every & mask
+            hits = np.flatnonzero(there[(code * HASH) >> np.uint64(48)])
+            first = np.searchsorted(codes, code[hits], "left")
+            last = np.searchsorted(codes, code[hits], "right")
+            for at, a, b in zip(hits.tolist(), first.tolist(), last.tolist(), strict=True):
+                for n in items[a:b].tolist():
+                    if data.startswith(d := self.items[n][1], at) and apart(data, at, at + len(d)):
+                        yield n, at, at + len(d), 0
 
     def search(self, text: str) -> Iterator[tuple[int, int, int, int]]:
-        """``item, start, end, edits`` in bytes of the text, for each segment found."""
+        """``item, start, end, edits`` in bytes of the text, for each segment and each short item found."""
         data = folded(text)
+        yield from self.search_short(data)
         code = grams(data)
         hits = np.flatnonzero(self.there[(code * HASH) >> self.shift])
         # Places with enough hits of any segment within the longest reach to either side.
-        if len(hits) < self.fewest or not self.parts:
+        if len(hits) < self.fewest:
             return
         m = max(1, self.fewest)
         starts = np.flatnonzero(hits[m - 1 :] - hits[: len(hits) - m + 1] <= self.widest)
@@ -93,26 +124,60 @@ class Index:
         if not n.sum():
             return
         at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
-        part, diagonal = self.part[at], np.repeat(hits, n) - self.place[at]
-        width = self.edits[part] + 1
-        band = diagonal // width + SEGMENT  # a band holds two steps, so any range of one width is in one
-        both = np.concatenate([band, band - 1]) + (np.concatenate([part, part]) << 40)
-        keys, count = np.unique(both, return_counts=True)
+        item, place = self.item[at], self.place[at]
+        # Bands of whole items hold all that their segments share, so few are left to look at by segment.
+        width = self.edits[item] + 1
+        band = (np.repeat(hits, n) - place) // width + self.longest  # a band holds two steps, so any range of one width is in one
+        both = np.concatenate([band, band - 1]) + (np.concatenate([item, item]) << 40)
+        keys, inverse, count = np.unique(both, return_inverse=True, return_counts=True)
         enough = count >= self.least[keys >> 40]
-        keys = keys[enough][np.argsort(-count[enough], kind="stable")]
-        exact: dict[int, list[int]] = {}
-        done: set[tuple[int, int]] = set()
-        for p, b in zip((keys >> 40).tolist(), ((keys & ((1 << 40) - 1)) - SEGMENT).tolist(), strict=True):
-            e, segment = int(self.edits[p]), self.parts[p][1]
-            low, high = b * (e + 1), (b + 2) * (e + 1) - 1
-            if any(low - e <= place <= high + e for place in exact.get(p, ())):
-                continue  # the band is beside a match without edits, of the same place
-            found = align(segment, data, low, high, e)
-            if found and not found[2]:
-                exact.setdefault(p, []).append(found[0])
-            if found and (p, found[1]) not in done:
-                done.add((p, found[1]))
-                yield self.parts[p][0], *found
+        some = np.flatnonzero(enough[inverse])
+        some = some[np.argsort(both[some], kind="stable")]
+        ends = np.cumsum(count[enough])
+        shared = []
+        for key, low, high in zip(keys[enough].tolist(), (ends - count[enough]).tolist(), ends.tolist(), strict=True):
+            i, b = key >> 40, (key & ((1 << 40) - 1)) - self.longest
+            places = np.sort(place[some[low:high] % len(place)])
+            for first_, last_ in segments(self.items[i][1]):
+                k = int(np.searchsorted(places, last_ - Q, "right") - np.searchsorted(places, first_, "left"))
+                if k >= self.least[i]:
+                    shared.append((-k, i, first_, last_, b))
+        exact: dict[tuple[int, int], list[int]] = {}
+        done: set[tuple[int, int, int]] = set()
+        rest: dict[int, list[tuple[int, int, int]]] = {}
+        for _, i, first_, last_, b in sorted(shared):
+            e, segment, p = int(self.edits[i]), self.items[i][1][first_:last_], (i, first_)
+            low, high = b * (e + 1) + first_, (b + 2) * (e + 1) - 1 + first_
+            found = find_exact(segment, data, low, high)
+            if not found:
+                rest.setdefault(i, []).append((first_, last_, low))
+                continue
+            exact.setdefault(p, []).append(found[0])
+            if (*p, found[1]) not in done:
+                done.add((*p, found[1]))
+                yield i, *found
+        for i, bands in rest.items():
+            e, wide = int(self.edits[i]), 2 * int(self.edits[i]) + 1
+            # A band beside a match without edits is of the same place.
+            beside = lambda p, low: any(low - e <= at <= low + wide + e for at in exact.get(p, ()))  # noqa: B023, E731
+            bands = [band for band in bands if not beside((i, band[0]), band[2])]
+            texts = [self.items[i][1][first_:last_] for first_, last_, _ in bands]
+            for (first_, _, _), found in zip(bands, align_all(texts, data, [low for *_, low in bands], wide, e), strict=True):
+                if found and (i, first_, found[1]) not in done:
+                    done.add((i, first_, found[1]))
+                    yield i, *found
+
+
+def apart(data: bytes, start: int, end: int) -> bool:
+    """No word goes on beyond the start or the end."""
+    word = lambda b: chr(b).isalnum() or b >= 128
+    before = start > 0 and word(data[start - 1]) and word(data[start])
+    return not before and not (end < len(data) and word(data[end]) and word(data[end - 1]))
+
+
+def find_exact(segment: bytes, data: bytes, low: int, high: int) -> tuple[int, int, int] | None:
+    at = data.find(segment, max(0, low), max(0, high) + len(segment))
+    return (at, at + len(segment), 0) if at >= 0 else None
 
 
 def align(segment: bytes, data: bytes, low: int, high: int, edits: int) -> tuple[int, int, int] | None:
@@ -120,28 +185,36 @@ def align(segment: bytes, data: bytes, low: int, high: int, edits: int) -> tuple
 
     Starts and ends in the text are free. None if it takes more than ``edits``.
     """
-    exact = data.find(segment, max(0, low), max(0, high) + len(segment))
-    if exact >= 0:
-        return exact, exact + len(segment), 0
-    base, width = low - edits, high - low + 2 * edits + 1
-    padded = bytes(max(0, -base)) + data + bytes(len(segment) + width)
-    text = np.frombuffer(padded, np.uint8)
-    offset = base + max(0, -base)
+    return find_exact(segment, data, low, high) or align_all([segment], data, [low], high - low, edits)[0]
+
+
+def align_all(segments_: list[bytes], data: bytes, lows: list[int], wide: int, edits: int) -> list[tuple[int, int, int] | None]:
+    """As ``align``, of segments of one length at once, each from its low diagonal to ``wide`` above."""
+    if not segments_:
+        return []
+    base, width, size = np.array(lows) - edits, wide + 2 * edits + 1, len(segments_[0])
+    before, beyond = max(0, -int(base.min())), max(0, int(base.max()) - len(data))
+    text = np.frombuffer(bytes(before) + data + bytes(beyond + size + width), np.uint8)
+    segment = np.frombuffer(b"".join(segments_), np.uint8).reshape(-1, size)
     steps = np.arange(width)
-    cost, origin = np.zeros(width, np.int64), steps.copy()
-    for i, c in enumerate(segment):
+    places = base[:, None] + before + steps
+    cost, origin = np.zeros(places.shape, np.int64), np.broadcast_to(steps, places.shape)
+    skip, further = np.full(places.shape, 1 << 30), np.zeros(places.shape, np.int64)
+    for i in range(size):
         # Column k is the diagonal base + k: the text goes on to place base + k + i.
-        new = cost + (text[offset + i : offset + i + width] != c)
-        skip = np.append(cost[1:] + 1, 1 << 30)  # a byte of the segment that the text lacks
-        came = np.where(skip < new, np.append(origin[1:], 0), origin)
-        new = np.minimum(new, skip)
-        run = np.minimum.accumulate(new - steps)  # further bytes in the text
-        source = np.maximum.accumulate(np.where(new - steps == run, steps, 0))
-        cost, origin = run + steps, came[source]
-    k = int(cost.argmin())
-    if cost[k] > edits:
-        return None
-    return max(0, base + int(origin[k])), min(len(data), base + k + len(segment)), int(cost[k])
+        new = cost + (text[places + i] != segment[:, i, None])
+        skip[:, :-1] = cost[:, 1:] + 1  # a byte of the segment that the text lacks
+        further[:, :-1] = origin[:, 1:]
+        came = np.where(skip < new, further, origin)
+        new = np.minimum(new, skip) - steps
+        run = np.minimum.accumulate(new, 1)  # further bytes in the text
+        source = np.maximum.accumulate(np.where(new == run, steps, 0), 1)
+        cost, origin = run + steps, np.take_along_axis(came, source, 1)
+    out = []
+    for b, k, costs, origins in zip(base.tolist(), cost.argmin(1).tolist(), cost, origin, strict=True):
+        fine = costs[k] <= edits
+        out.append((max(0, b + int(origins[k])), min(len(data), b + k + size), int(costs[k])) if fine else None)
+    return out
 
 
 def merged(found: list[tuple[int, int, int, int]]) -> dict[int, list[tuple[int, int, int]]]:
@@ -171,10 +244,12 @@ def passes(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
 def find_benchmark(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, item_id, start, end, n_spans, edits`` for each row of ``docs`` and each item found in it.
 
-    An item is found where one of its segments of 100 bytes (the whole item, if shorter) occurs within 8 edits
-    in 100, case and kind of white space aside. ``start, end`` are code points of the first span that
+    An item is found where one of its segments of 64 bytes (the whole item, if shorter) occurs within 8 edits
+    in 100, case and kind of white space aside; a segment begins every 8 bytes, so that a passage of 64 bytes that is copied
+    exactly is found wherever it lies. Items under 30 bytes are found where they occur whole and exactly and no word goes on
+    beyond their ends. ``start, end`` are code points of the first span that
     its segments cover, ``edits`` the fewest of a segment. Null and empty texts and items match nothing, nor
-    do items under 30 bytes. Null ids of documents stay null; repeated rows are searched each, items that share an
+    do items of white space. Null ids of documents stay null; repeated rows are searched each, items that share an
     id count as one, by their first span. Empty tables give no rows. Texts are searched whole. No shuffle:
     each pass sends a bounded part of the benchmark to the executors.
     """

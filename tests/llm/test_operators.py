@@ -367,3 +367,19 @@ def test_thresholds_cover_kinds_that_a_sample_lacks(spark, monkeypatch):
     monkeypatch.setattr(personal_data, "SAMPLE", 20)
     assert personal_data.find_personal_data(docs).count() == len(texts)
     assert seen["n"] > 500 and {0, 1} <= set(seen["least"])  # 601 candidates, about 20 of them learned from
+
+
+def test_passages_of_a_segment_are_found_at_any_offset():
+    random = np.random.default_rng(4)
+    item = " ".join("".join(chr(97 + c) for c in random.integers(0, 26, 5)) for _ in range(40))
+    index = decontamination.Index([(1, item)])
+    for at in range(len(item) - 64 + 1):
+        assert any(index.search(f"{'9' * 40}{item[at : at + 64]}{'8' * 40}")), at
+    assert not any(index.search("9" * 100))
+
+
+def test_short_items_are_found_whole_and_exactly():
+    index = decontamination.Index([(1, "Ja"), (2, "Who wrote it?"), (3, "Who wrote"), (4, " "), (5, "é")])
+    found = lambda text: sorted({index.items[n][0] for n, *_ in index.search(text)})
+    assert found("x who\twrote it? Jam") == [2, 3] and found("who wrotes") == [] and found("so: JA") == [1]
+    assert found("é") == [5] and found("né") == [] and found("") == []
