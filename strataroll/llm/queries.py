@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strataroll.llm import (
+    byte_pairs,
     decontamination,
+    divergence,
     mixing,
     personal_data,
     quality,
@@ -69,6 +72,19 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path
+
+    vocabulary = byte_pairs.read_vocabulary(path("byte_bpe_50k.json"))
+    encoded = byte_pairs.encode(table(spark, sf_dir, "documents"), vocabulary)
+    decoded = byte_pairs.decode(encoded, vocabulary)
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -82,6 +98,8 @@ QUERIES: dict[str, Query] = {
         op8_personal_data,
         op9_token_counts,
         op10_quality,
+        op11_byte_pairs,
+        op13_divergence,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op13_divergence": divergence.AUDIT_SQL}
