@@ -11,6 +11,7 @@ from strataroll.llm import (
     byte_pairs,
     decontamination,
     divergence,
+    hard_negatives,
     mixing,
     personal_data,
     quality,
@@ -81,6 +82,12 @@ def op11_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", relabelled))
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -99,7 +106,11 @@ QUERIES: dict[str, Query] = {
         op9_token_counts,
         op10_quality,
         op11_byte_pairs,
+        op12_hard_negatives,
         op13_divergence,
     )
 }
-ORACLES: dict[str, str] = {"op13_divergence": divergence.AUDIT_SQL}
+ORACLES: dict[str, str] = {
+    "op12_hard_negatives": hard_negatives.MINE_SQL,
+    "op13_divergence": divergence.AUDIT_SQL,
+}
