@@ -6,9 +6,6 @@ where fingerprints agree in enough bands of bits, which loses none: with b bands
 differ in r bits agree in b - r bands at least. Within such blocks a table holds the distances of
 each fingerprint to the pivots. By the triangle inequality two fingerprints are as far apart
 as any of their coordinates differ, so pairs with a larger maximum difference are discarded.
-
-The near-duplicate stage proposes pairs by bands of least hashes instead, as near there means a similarity of sets, which
-fingerprints of words don't bound: where an edit lies and how long the text is make no difference.
 """
 
 from __future__ import annotations
@@ -29,16 +26,6 @@ BITS, PIVOTS = 64, 32
 #: Blocks with more rows are compared piece against piece, in as many tasks as there are pairs of pieces.
 BLOCK_ROWS = 2048
 _PIVOTS = np.random.default_rng(3).integers(0, 2**64, PIVOTS, dtype=np.uint64)
-#: A sketch has so many bits, each of its own hash: a change of bits and an odd factor.
-SKETCH_BITS = 256
-_SHIFT, _FACTOR = np.random.default_rng(5).integers(0, 2**64, (2, SKETCH_BITS), dtype=np.uint64)
-_FACTOR |= np.uint64(1)
-#: Bands of least hashes that propose pairs. Sets of similarity s agree in a band with chance s^5, so
-#: those of 0.8 are missed by all forty with chance 1.3e-7, whatever differs between them.
-BANDS, BAND_ROWS = 40, 5
-_MIX = np.random.default_rng(7).integers(0, 2**64, (BANDS, BAND_ROWS), dtype=np.uint64) | np.uint64(1)
-#: Pairs held to be linked by distance before they are reduced to fewer than there are rows.
-HELD_PAIRS = 1 << 20
 #: Shingles hashed at once, so that long texts need no more memory.
 CHUNK = 1 << 16
 
@@ -65,45 +52,6 @@ def fingerprint(words: list[bytes], n: int, seed: int) -> np.uint64:
     return np.packbits(count * 2 > total, bitorder="little").view("<u8")[0]
 
 
-def least_of_each(hashes: Iterable[np.ndarray]) -> np.ndarray:
-    """The least of all hashes under each of SKETCH_BITS orders."""
-    least = np.full(SKETCH_BITS, 2**64 - 1, np.uint64)
-    for h in hashes:
-        for at in range(0, len(h), 1024):
-            each = (h[None, at : at + 1024] ^ _SHIFT[:, None]) * _FACTOR[:, None]
-            np.minimum(least, each.min(1), out=least)
-    return least
-
-
-def sketch_of(least: np.ndarray) -> np.ndarray:
-    # A low bit of the product says nothing on which of them is the least.
-    bits = (least >> np.uint64(20)) & np.uint64(1)
-    return np.packbits(bits.astype(np.uint8), bitorder="little").view("<u8")
-
-
-def set_sketch(words: list[bytes], n: int, seed: int) -> np.ndarray:
-    """SKETCH_BITS bits of the set of n-word shingles: of each of as many hashes, one bit of the least.
-
-    Two sets of similarity s differ in a part (1 - s) / 2 of the bits. Without words all are zero.
-    """
-    if not words:
-        return np.zeros(SKETCH_BITS // BITS, np.uint64)
-    return sketch_of(least_of_each(shingle_hashes(words, n, seed)))
-
-
-def band_keys(least: np.ndarray) -> np.ndarray:
-    """A number for each band, equal where all its least hashes are."""
-    return (least[: BANDS * BAND_ROWS].reshape(BANDS, BAND_ROWS) * _MIX).sum(1, dtype=np.uint64)
-
-
-def shingle_set(words: list[bytes], n: int, seed: int) -> np.ndarray:
-    """The hashes of the set of n-word shingles, sorted."""
-    found = np.zeros(0, np.uint64)
-    for h in shingle_hashes(words, n, seed):
-        found = np.unique(np.concatenate([found, h]))
-    return found
-
-
 def by_words(docs: DataFrame, of_words: Callable[[list[bytes]], tuple], fields: str, *keep: Column, text_col: str = "text") -> DataFrame:
     """The kept columns and the ``fields`` that a function gives for the words of each text."""
     rows = docs.select(*keep, text_or_empty(text_col).alias("text"))
@@ -124,18 +72,6 @@ def fingerprints(docs: DataFrame, n: int, seed: int, *keep: Column) -> DataFrame
     return by_words(docs, lambda words: (int(fingerprint(words, n, seed).astype(np.int64)),), "fp bigint", *keep)
 
 
-def sketches(docs: DataFrame, n: int, seed: int, *keep: Column) -> DataFrame:
-    """The kept columns and, of the set of n-word shingles, its digest ``node``, ``bands`` and sketch ``wide``."""
-
-    def of_words(words: list[bytes]) -> tuple:
-        found = shingle_set(words, n, seed)
-        least = least_of_each([found])
-        node = np.uint64(xxh64_intdigest(found.tobytes())).astype(np.int64)
-        return int(node), band_keys(least).astype(np.int64).tolist(), sketch_of(least).astype(np.int64).tolist()
-
-    return by_words(docs, of_words, "node bigint, bands array<bigint>, wide array<bigint>", *keep)
-
-
 def band_masks(radius: int) -> list[int]:
     """Masks of the bits of all choices of bands that must agree somewhere within the radius.
 
@@ -171,38 +107,14 @@ class Forest:
             while (self.label != (up := self.label[self.label])).any():
                 self.label = up
 
-    def link_by_distance(self, a: np.ndarray, b: np.ndarray, wide: np.ndarray) -> None:
-        """Closer pairs first, so that each set is connected by its closest pairs."""
-        distance = wide_distance(wide, a, b)
-        for d in np.unique(distance):
-            self.link(a[distance == d], b[distance == d])
-
-
-def wide_distance(wide: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(wide[a] ^ wide[b]).sum(1, dtype=np.int16)
-
 
-def close_rows(
-    key: np.ndarray,
-    side: np.ndarray,
-    fp: np.ndarray,
-    wide: np.ndarray,
-    radius: int,
-    wide_radius: int,
-    forest: Forest | None = None,
-) -> np.ndarray:
+def close_rows(key: np.ndarray, side: np.ndarray, fp: np.ndarray, radius: int, forest: Forest | None = None) -> np.ndarray:
     """The smallest linked row of each row, for rows sorted by block.
 
-    Rows of the same side (1 or 2, 0: none) are left to another pair of pieces. With wide
-    fingerprints ``forest`` gathers the closest pairs that connect the rows.
+    Rows of the same side (1 or 2, 0: none) are left to another pair of pieces.
     """
     n, forest = len(key), forest or Forest(np.arange(len(key)))
-    held: list[tuple[np.ndarray, np.ndarray]] = []  # pairs not so close that nothing can be closer
-    table, reach = np.bitwise_count(fp[:, None] ^ _PIVOTS[None, :]).astype(np.int16), radius
-    if wide.shape[1] and n:
-        # Rows as pivots are near to some of their own block and so tell them apart.
-        pivots, reach = np.linspace(0, n - 1, PIVOTS).astype(np.int64), wide_radius
-        table = np.stack([np.bitwise_count(wide ^ wide[p]).sum(1, dtype=np.int16) for p in pivots], 1)
+    table = np.bitwise_count(fp[:, None] ^ _PIVOTS[None, :]).astype(np.int16)
     alive = np.arange(n)
     for shift in range(1, n):
         alive = alive[alive + shift < n]
@@ -212,46 +124,13 @@ def close_rows(
         a = alive[(side[alive] == 0) | (side[alive] != side[alive + shift])]
         a = a[forest.label[a] != forest.label[a + shift]]
         for coordinates in (slice(0, 4), slice(4, PIVOTS)):  # most pairs go with the first few
-            a = a[np.abs(table[a, coordinates] - table[a + shift, coordinates]).max(1, initial=0) <= reach]
+            a = a[np.abs(table[a, coordinates] - table[a + shift, coordinates]).max(1, initial=0) <= radius]
         a = a[np.bitwise_count(fp[a] ^ fp[a + shift]) <= radius]
-        if wide.shape[1] and len(a):
-            distance = wide_distance(wide, a, a + shift)
-            fair = a[(distance > wide_radius // 3) & (distance <= wide_radius)]
-            held.append((fair, fair + shift))
-            a = a[distance <= wide_radius // 3]
-            if sum(len(x) for x, _ in held) > HELD_PAIRS:
-                least = Forest(forest.label.copy())
-                least.link_by_distance(*map(np.concatenate, zip(*held)), wide)
-                held = [tuple(map(np.concatenate, zip(*least.links)))]
         if len(a):
             forest.link(a, a + shift)
-    if held:
-        forest.link_by_distance(*map(np.concatenate, zip(*held)), wide)
     return forest.label
 
 
-def apart_rows(
-    key: np.ndarray, side: np.ndarray, wide: np.ndarray, label: np.ndarray, wide_radius: int, limit: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Near pairs of rows of different labels, at most ``limit`` for each first row, and first rows that have more."""
-    used, more = np.zeros(len(key), np.int64), np.zeros(len(key), bool)
-    pairs = [(used[:0], used[:0])]
-    alive = np.arange(len(key))
-    for shift in range(1, len(key)):
-        alive = alive[alive + shift < len(key)]
-        alive = alive[key[alive] == key[alive + shift]]
-        if not len(alive):
-            break
-        a = alive[(label[alive] != label[alive + shift]) & ~more[alive]]
-        a = a[(side[a] == 0) | (side[a] != side[a + shift])]
-        a = a[wide_distance(wide, a, a + shift) <= wide_radius]
-        more[a[used[a] == limit]] = True
-        a = a[used[a] < limit]
-        used[a] += 1
-        pairs.append((a, a + shift))
-    return *map(np.concatenate, zip(*pairs)), np.flatnonzero(more)
-
-
 def by_masks(nodes: DataFrame, radius: int) -> DataFrame:
     """``node, fp, key`` for each choice of bands of the fingerprint of ``nodes`` (``node bigint, fp bigint``)."""
     keys = [
@@ -260,32 +139,20 @@ def by_masks(nodes: DataFrame, radius: int) -> DataFrame:
     return nodes.select("node", "fp", F.explode(F.array(*keys)).alias("key"))
 
 
-def by_bands(nodes: DataFrame) -> DataFrame:
-    """``node, wide0 to wide3, key`` for each band of ``nodes`` (``node, bands, wide``), and the ``label`` if there is one."""
-    split = [F.col("wide")[i].alias(f"wide{i}") for i in range(SKETCH_BITS // BITS)]
-    label = [c for c in nodes.columns if c == "label"]
-    return nodes.select("node", *label, *split, F.explode("bands").alias("key"))
-
-
-def near_links(keyed: DataFrame, radius: int, wide_radius: int = 0, limit: int = 0) -> DataFrame:
+def near_links(keyed: DataFrame, radius: int) -> DataFrame:
     """Links ``a, b`` that connect what the near pairs connect.
 
-    ``keyed`` has ``node, key`` and ``fp`` or a sketch in ``wide0`` and so on, all bigint. Pairs that share
-    a key are near if the fingerprints differ in ``radius`` bits at most and the sketches in ``wide_radius``.
-    A block gives fewer links than it has rows, those of the closest pairs by the sketches. With a ``limit`` it gives
-    instead pairs of rows of different ``label``, that many for a row at most, and a link of a row to itself
-    where it has more.
+    ``keyed`` has ``node, fp, key``, all bigint. Pairs that share a key are near if the fingerprints differ in
+    ``radius`` bits at most. A block gives fewer links than it has rows.
     """
-    wides = [c for c in keyed.columns if c.startswith("wide")]
-    carried = [c for c in keyed.columns if c not in ("node", "key")]
     large = keyed.groupBy("key").count().filter(F.col("count") > BLOCK_ROWS)
     pieces = F.coalesce(F.ceil(F.col("count") / (BLOCK_ROWS // 2)), F.lit(1)).cast("int")
     cut = keyed.join(saved(large, "large-blocks"), "key", "left").withColumn("pieces", pieces)
     cut = cut.withColumn("mine", F.pmod(F.xxhash64("node", "key"), F.col("pieces")).cast("int"))
     other = F.sequence(F.lit(0), F.col("pieces") - 1)
-    paired = cut.select("node", *carried, "key", "mine", "pieces", F.explode(other).alias("other")).select(
+    paired = cut.select("node", "fp", "key", "mine", "pieces", F.explode(other).alias("other")).select(
         "node",
-        *carried,
+        "fp",
         F.when(F.col("pieces") == 1, F.col("key"))
         .otherwise(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")))
         .alias("key"),
@@ -317,142 +184,56 @@ def near_links(keyed: DataFrame, radius: int, wide_radius: int = 0, limit: int =
         some = np.flatnonzero(same | np.r_[False, same[:-1]])  # rows that are not alone in their block
         if not len(some):
             return
-        wide = np.zeros((len(some), len(wides)), np.uint64)
-        for i, w in enumerate(wides):
-            wide[:, i] = rows.column(w).to_numpy()[some].astype(np.uint64)
-        side = rows.column("side").to_numpy()[some]
-        node = node[some]
-        if limit:
-            label = rows.column("label").to_numpy()[some]
-            a, b, more = apart_rows(key[some], side, wide, label, wide_radius, limit)
-            ends = (np.concatenate([a, more]), np.concatenate([b, more]))
-            yield pa.RecordBatch.from_arrays([pa.array(node[end]) for end in ends], ["a", "b"])
-            return
-        fp = rows.column("fp").to_numpy()[some].astype(np.uint64) if "fp" in carried else np.zeros(len(some), np.uint64)
         forest = Forest(np.arange(len(some)))
-        close_rows(key[some], side, fp, wide, radius, wide_radius, forest)
-        links = [pa.array(node[np.concatenate(end)]) for end in zip(*forest.links)]
+        fp = rows.column("fp").to_numpy()[some].astype(np.uint64)
+        close_rows(key[some], rows.column("side").to_numpy()[some], fp, radius, forest)
+        links = [pa.array(node[some][np.concatenate(end)]) for end in zip(*forest.links)]
         yield pa.RecordBatch.from_arrays(links, ["a", "b"])
 
     grouped = paired.repartition("key").sortWithinPartitions("key")
     return grouped.mapInArrow(run, "a bigint, b bigint")
 
 
+def labelled(nodes: DataFrame, radius: int) -> DataFrame:
+    """``nodes`` (``fp bigint`` and more, one row for each) with the ``label`` of what links within ``radius`` connect."""
+    links = near_links(by_masks(nodes.select(F.col("fp").alias("node"), "fp"), radius), radius)
+    labels = components(links).select(F.col("node").alias("fp"), "label")
+    return nodes.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+
+
 def simhash_components(docs: DataFrame, n: int = 3, seed: int = 42, radius: int = 3) -> DataFrame:
     """``doc_id, fingerprint, component_id`` for each row of ``docs``.
 
     Fingerprints within ``radius`` bits are linked; the component is named by its smallest id. Null
     and empty texts have the fingerprint zero and link like others. Equal fingerprints are one
     node, so copies of a text make one, however many. Null ids stay null and name no component
-    unless there is no other id in it. Repeated rows are kept each. Empty tables give no rows.
+    unless there is no other id in it. Repeated rows are kept each. Long texts are hashed whole, piece
+    by piece. Further columns are ignored. Empty tables give no rows.
     """
     doc_id = F.col("doc_id").cast("bigint").alias("doc_id")
     prints = saved(fingerprints(docs, n, seed, doc_id), "fingerprints")
     nodes = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    links = near_links(by_masks(nodes.select(F.col("fp").alias("node"), "fp"), radius), radius)
-    labels = components(links).select(F.col("node").alias("fp"), "label")
-    labelled = nodes.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-    names = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
-    found = saved(labelled.join(names, "label").select("fp", "component_id"), "named")
+    grouped = labelled(nodes, radius)
+    names = grouped.groupBy("label").agg(F.min("first").alias("component_id"))
+    found = saved(grouped.join(names, "label").select("fp", "component_id"), "named")
     return prints.join(found, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-#: For the near-duplicate stage: words of a shingle, and seed. A sketch of the set discards most of the proposed
-#: pairs: sets of similarity 0.8 differ in 26 of its 256 bits, give or take 5, and of similarity 0.6 in 51.
-VERIFY = (5, 1)
-#: Sets of 0.8 differ in more with a chance of about 1e-7.
-VERIFY_BITS = 52
-#: Partners of a row that are verified in the first round after the forests; so many times as many in each further one.
-PARTNERS = 16
-
-
-def shingle_sets(ends: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """``node, shingles array<bigint>``: the whole set of each of the ``ends`` (``node``).
-
-    ``nodes`` has ``node, row``, ``docs`` has ``row, text``.
-    """
-    texts = docs.join(ends.join(nodes, "node"), "row").select("node", "text")
-    of_words = lambda words: (shingle_set(words, *VERIFY).astype(np.int64).tolist(),)
-    return saved(by_words(texts, of_words, "shingles array<bigint>", F.col("node")), "shingle-sets")
-
-
-def in_order(links: DataFrame) -> DataFrame:
-    return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def ends_of(links: DataFrame) -> DataFrame:
-    return links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-
-
-def alike(links: DataFrame, sets: DataFrame) -> DataFrame:
-    """The links whose sets have a similarity of 0.8 or more: shared / (all of both - shared) >= 4 / 5."""
-    of = lambda end: sets.select(F.col("node").alias(end), F.col("shingles").alias(f"of_{end}"))
-    shared = F.size(F.array_intersect("of_a", "of_b"))
-    near = shared * 9 >= (F.size("of_a") + F.size("of_b")) * 4
-    return links.join(of("a"), "a").join(of("b"), "b").filter(near).select("a", "b")
-
-
-def verified(links: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The links ``a, b`` whose ends have a similarity of 0.8 or more, by their whole sets of shingle hashes.
+def drop_near_duplicates(docs: DataFrame, n: int = 3, seed: int = 42, radius: int = 3) -> DataFrame:
+    """``docs`` with one document of each component that ``simhash_components`` would name.
 
-    ``nodes`` has ``node, row``, ``docs`` has ``row, text``. Only documents with links meet.
-    """
-    links = saved(in_order(links), "near-pairs")
-    return alike(links, shingle_sets(ends_of(links), nodes, docs))
-
-
-def verified_links(parts: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Verified links that connect all that the verified ones of all proposed pairs connect.
-
-    ``parts`` has ``node, bands, wide``. First the forests of the blocks are verified. Where a link of them
-    fails, the proposed pairs between rows that are still apart follow in rounds until none is left.
-    """
-    seen = saved(in_order(near_links(by_bands(parts), 0, VERIFY_BITS)), "near-pairs")
-    sets = shingle_sets(ends_of(seen), nodes, docs)
-    good = saved(alike(seen, sets), "near-links")
-    if seen.join(good, ["a", "b"], "left_anti").isEmpty():
-        return good
-
-    def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
-        return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-
-    labels = components(good)
-    # Any proposed pair lies within what the forests connect, failed links included.
-    within = labelled(components(seen).select("node", F.col("label").alias("within")), labels)
-    apart = within.groupBy("within").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
-    left = saved(parts.join(within.join(apart, "within", "left_semi").select("node"), "node"), "rows-apart")
-    limit = PARTNERS
-    while True:
-        found = saved(in_order(near_links(by_bands(labelled(left, labels)), 0, VERIFY_BITS, limit)), "near-pairs")
-        new = saved(found.filter("a != b").join(seen, ["a", "b"], "left_anti"), "new-pairs")
-        good = good.union(saved(alike(new, sets), "near-links"))
-        if found.filter("a = b").isEmpty():
-            return good
-        seen, limit, labels = seen.union(new), limit * PARTNERS, components(good)
-
-
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents that are near another of smaller id, directly or through others.
-
-    Near: similar by 0.8 or more in whole sets of five-word shingles, see ``verified_links``. Pairs are proposed by bands of least
-    hashes. Of each group the smallest id stays (null last, then the
-    first row). Null and empty texts are one group. ``docs`` must be a stored table or another plan
-    that gives its rows in the same places each time, as it is read three times. All columns stay.
+    The smallest id of each stays (null last, then the first row). Null and empty texts are alike.
+    ``docs`` must be a stored table or another plan that gives its rows in the same places each
+    time, as it is read twice. All columns stay.
     """
     row = F.monotonically_increasing_id().alias("row")
     doc_id = F.col("doc_id").cast("bigint").alias("doc_id")
-    prints = saved(sketches(docs, *VERIFY, doc_id, row), "fingerprints")
+    prints = saved(fingerprints(docs, n, seed, doc_id, row), "fingerprints")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
-    alike = prints.groupBy("node").agg(F.first("bands").alias("bands"), F.first("wide").alias("wide"), F.min(order).alias("first"))
-    nodes = saved(alike, "nodes")
-    links = verified_links(
-        nodes.select("node", "bands", "wide"), nodes.select("node", "first.row"), docs.select(row, text_or_empty().alias("text"))
-    )
-    labels = components(links)
-    labelled = nodes.join(labels, "node", "left").select("first", F.coalesce("label", "node").alias("label"))
-    firsts = labelled.groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row"))
+    nodes = saved(prints.groupBy("fp").agg(F.min(order).alias("first")), "nodes")
+    firsts = labelled(nodes, radius).groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row"))
     dropped = saved(prints.select("row").join(firsts, "row", "left_anti"), "dropped")
     names = docs.columns
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("all"), row)
