@@ -28,7 +28,7 @@ LEAST_DOCS, SCALE, TOP_TERMS = 3, 1_000_000_000, 200
 #: Counts that a task holds before it passes them on. It bounds memory, not results.
 HELD_COUNTS = 500_000
 #: Rows of a tile, and nonzero cells of a strip, about.
-TILE_ROWS, STRIP_CELLS = 256, 500_000
+TILE_ROWS, STRIP_CELLS = 256, 32_768
 #: Parts of a quadrant in each direction; side of a leaf; leaves computed at once.
 K, LEAF, LEAVES = 4, 16, 128
 
