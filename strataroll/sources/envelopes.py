@@ -55,16 +55,20 @@ def read_envelopes(
 
 
 def _documents(spark: SparkSession, path: str, multi_line: bool, schema: str, mode: str) -> DataFrame:
-    """Each text parsed as an array of one document, so that text after the document is an error.
+    return documents_of_texts(spark.read.text(path, wholetext=multi_line), _source_file(), schema, mode)
+
+
+def documents_of_texts(texts: DataFrame, source_file: Column, schema: str, mode: str) -> DataFrame:
+    """Each text of ``value`` parsed as an array of one document, so that text after the document is an error.
 
     Only text that begins with a closing bracket and ends with a brace can pass for the end of that array.
     The outer generator implies no filter, so each text is parsed once.
     """
-    texts = spark.read.text(path, wholetext=multi_line).filter(F.trim("value") != "")
+    texts = texts.filter(F.trim("value") != "")
     ended = F.rtrim(F.translate("value", "\t\r\n", "   ")).endswith("}")
     wrapped = F.when(ended, F.concat(F.lit("["), F.col("value"), F.lit("]"))).otherwise("[")
     parsed = F.from_json(wrapped, f"array<struct<{_typed(schema)}>>", {"mode": mode})
-    each = texts.select(F.posexplode_outer(parsed).alias("at", "document"), _source_file())
+    each = texts.select(F.posexplode_outer(parsed).alias("at", "document"), source_file)
     return each.select("document.*", "source_file")
 
 
