@@ -26,7 +26,7 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 #: A character that is neither letter, number nor space.
 OTHER = "\u2603"
 #: Characters of words that a Python worker remembers the ids of. It bounds memory, not results.
-REMEMBERED = 16_000_000
+REMEMBERED = 6_000_000
 GONE, BREAK = -1, -2
 
 
@@ -251,7 +251,7 @@ class Encoder:
 
 
 #: Rows of a batch that are encoded at once.
-ROWS = 2048
+ROWS = 512
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -278,6 +278,22 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text
     return by_batch(rows, step, "doc_id bigint, ids array<int>")
 
 
+class TokenBytes:
+    """The bytes of all tokens behind one another, to look up many ids at once."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.counts = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        self.starts = np.cumsum(self.counts) - self.counts
+        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def text(self, ids: np.ndarray) -> str:
+        if ids.min(initial=0) < 0:
+            raise IndexError("A negative number is no id")
+        counts = self.counts[ids]
+        at = np.repeat(self.starts[ids] - (np.cumsum(counts) - counts), counts)
+        return self.flat[at + np.arange(len(at))].tobytes().decode("utf-8", "replace")
+
+
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded``: the text of each row's ``ids``, special tokens included.
 
@@ -285,10 +301,13 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     a number that is no id raises an error. Other rules as in ``encode``.
     """
     tokens = encoded.sparkSession.sparkContext.broadcast(vocabulary.tokens)
+    kept: list[TokenBytes] = []
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        of = tokens.value.__getitem__
-        texts = (b"".join(map(of, ids.as_py())).decode("utf-8", "replace") for ids in batch.column("ids"))
+        if not kept:
+            kept.append(TokenBytes(tokens.value))
+        ids = batch.column("ids")
+        texts = (kept[0].text(x.values.to_numpy()) if len(x) else "" for x in ids)
         columns = [*batch.columns[:-1], pa.array(texts, pa.string())]
         return pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "decoded"])
 
