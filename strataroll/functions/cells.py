@@ -24,9 +24,16 @@ def epoch_to_date(seconds: Column) -> Column:
 
 
 def whole_number(cell: Column, type_name: str) -> Column:
-    """A whole number in any spelling, such as ``75``, ``75.0`` or ``1.7E9``; null if it is none."""
-    number = cell.try_cast("decimal(38,6)")
-    return F.coalesce(cell.try_cast(type_name), F.when(number == F.floor(number), number.try_cast(type_name)))
+    """A whole number in any spelling, such as ``75``, ``75.0`` or ``1.7E9``; null if it is none.
+
+    A fraction is told by its digits, however many there are. With an exponent, digits beyond the 18th place
+    after the point of the number so written don't count.
+    """
+    text = cell.cast("string")
+    number = cell.try_cast("decimal(38,18)")
+    fraction = text.rlike(r"\.0*[1-9]\d*\s*$")
+    whole = F.when((number == F.floor(number)) & ~fraction, number.try_cast(type_name))
+    return F.coalesce(cell.try_cast(type_name), whole)
 
 
 def typed(cell: Column, type_name: str) -> Column:

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataroll.functions.names import named
+from strataroll.functions.widening import widened, widens
 
 IS_CURRENT, VALID_FROM, VALID_TO = "is_current", "valid_from", "valid_to"
 TRACKING = [IS_CURRENT, VALID_FROM, VALID_TO]
@@ -125,6 +126,15 @@ def _newer(change_columns: Sequence[str]) -> Column:
     return F.coalesce(reduce(or_, comparisons), F.lit(False))
 
 
+def _widened_for(history: DataFrame, source: DataFrame) -> DataFrame:
+    """``history`` with its columns in the types of the snapshot where those are wider."""
+    new = {f.name: f.dataType for f in source.schema if f.name not in TRACKING}
+    wider = {f.name: new[f.name] for f in history.schema if f.name in new and widens(f.dataType, new[f.name])}
+    if not wider:
+        return history
+    return widened(history, T.StructType([T.StructField(f.name, wider.get(f.name, f.dataType)) for f in history.schema]))
+
+
 def _merged_columns(source: DataFrame, current: DataFrame) -> list[str]:
     """Columns of the history, then those only the snapshot has, then the tracking columns."""
     types = {f.name: f.dataType for f in current.schema}
@@ -238,12 +248,13 @@ def scd2_merge(
     """The whole history after merging a snapshot, closed rows of earlier merges included.
 
     ``target`` is the history so far, or None for the first snapshot; tracking columns it lacks
-    are added. Columns only one side has are kept and null on the other. Rows that cannot change
-    skip the join. ``small_source`` picks ``merge_delta``; the result is the same.
+    are added. Columns only one side has are kept and null on the other. A column whose type is wider in the
+    snapshot (``functions.widening``) becomes wider in the history; any other difference raises. Rows that
+    cannot change skip the join. ``small_source`` picks ``merge_delta``; the result is the same.
     """
     if target is None:
         return first_history(source, key, change_columns, as_of)
-    history = heal_tracking(target, as_of)
+    history = _widened_for(heal_tracking(target, as_of), source)
     current = history.filter(F.col(IS_CURRENT) & named(key).isNotNull())
     merge = merge_delta if small_source else merge_current
     merged = merge(source, current, key, change_columns, as_of)

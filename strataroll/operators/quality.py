@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,6 +122,36 @@ def _fused_checks(
     return (sums or [F.lit(0).alias("m0")], lines)
 
 
+class ObservedChecks:
+    """The checks of ``quality_report`` that need no shuffle, counted by whatever first runs through the rows.
+
+    Write ``rows`` in full once, then ask for the ``report``: it scans nothing again but the unique columns.
+    """
+
+    def __init__(self, df: DataFrame, critical: Sequence[str] = (), ranges: Mapping[str, Bounds] | None = None):
+        self.fused = _fused_checks(df, critical, ranges or {})
+        self.rows, self.observation, self.schema = df, None, None
+        if self.fused:
+            self.observation = Observation()
+            self.schema = df.agg(*self.fused[0]).schema
+            self.rows = df.observe(self.observation, *self.fused[0])
+
+    def report(self, written: DataFrame, unique: Sequence[str] = ()) -> DataFrame:
+        """The report of ``quality_report`` for the rows; ``written`` is where they can be read again."""
+        parts = []
+        if self.fused:
+            counted = self.observation.get
+            if counted.keys() == set(self.schema.names):
+                totals = written.sparkSession.createDataFrame([tuple(counted[n] for n in self.schema.names)], self.schema)
+            else:  # no task saw a row, and the plan was cut short
+                totals = written.agg(*self.fused[0])
+            parts.append(totals.select(F.inline(F.array(*self.fused[1]))))
+        parts += [uniqueness(written, column) for column in unique]
+        if not parts:
+            raise ValueError("No checks are given")
+        return reduce(DataFrame.unionByName, parts)
+
+
 def uniqueness(df: DataFrame, column: str) -> DataFrame:
     """Report row for a column that should identify rows; every null counts as a duplicate.
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from strataroll.functions.names import named, normalize_columns
 from strataroll.operators import drift, facts, flatten, history, quality
 from strataroll.plans import defaults
-from strataroll.sources import envelopes, versions
+from strataroll.sources import envelopes, ranges, versions
 
 log = logging.getLogger(__name__)
 
@@ -34,8 +34,12 @@ class Settings:
     unique: Sequence[str] = tuple(defaults.UNIQUE)
     on_new_columns: str = "warn"
     on_failed_checks: str = "warn"
-    layout: str = "document"  # one document per file; "lines": one per line; "rows": one row per line
+    # "document": one document per file; "lines": one per line; "rows": one per file, read by ranges of lines.
+    layout: str = "document"
     small_source: bool = False
+    buckets: int = 0  # cut current rows by key, and write only the buckets that a snapshot touches
+    compact_after: int = 0  # fold folders of closed rows where there are so many, see versions.compact
+    attempts: int = 1  # runs again from the newest version where another writer committed first
     # Normalised names for the facts.
     fact_keys: Sequence[str] = tuple(facts.GROUPING_COLUMNS)
     fact_year: str = "model_year"
@@ -72,26 +76,45 @@ def refresh_history(
     """Merge a raw snapshot into the history under ``root``; returns the committed version.
 
     Raw text is parsed twice, once per half: ``meta`` (skipping the rows) and ``data``. Both land
-    as Parquet, and everything after reads that. All tables share one version and appear together:
+    as Parquet, and everything after reads that; checks but uniqueness are counted while the snapshot is
+    written. All tables share one version and appear together:
     ``documents, drift, snapshot, quality, quarantine, metadata, approvals, history``.
     """
-    done = versions.commits(spark, root)
-    if done and as_of.isoformat() < done[-1].as_of:
-        raise ValueError(f"{as_of} is before the last version, of {done[-1].as_of}")
-    version = done[-1].version + 1 if done else 1
-    multi_line = settings.layout != "lines"
+    for left in reversed(range(settings.attempts)):
+        try:
+            version = _refresh_history(spark, raw_path, root, as_of, settings, logged_at or datetime.now())
+            break
+        except versions.Conflict:
+            if not left:
+                raise
+            log.warning("Another run committed first; this one starts again from its version")
+    if settings.compact_after:
+        versions.compact(spark, root, settings.compact_after)
+    return version
+
+
+def _refresh_history(
+    spark: SparkSession, raw_path: str, root: str, as_of: date, settings: Settings, logged_at: datetime
+) -> int:
+    base = versions.latest(spark, root)
+    if as_of.isoformat() < base.as_of:
+        raise ValueError(f"{as_of} is before the last version, of {base.as_of}")
+    version, run = base.version + 1, versions.new_run()
     tables: dict[str, DataFrame] = {}
 
     def land(name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        tables[name] = versions.write_version(df, root, name, version, partition_by)
+        tables[name] = versions.write_version(df, root, name, version, partition_by, run)
         return tables[name]
 
-    docs = land("documents", envelopes.read_meta(spark, raw_path, multi_line=multi_line, streamed=settings.layout == "rows"))
+    if settings.layout == "rows":
+        found_docs, records = ranges.read_ranges(spark, raw_path)
+        docs = land("documents", found_docs.drop("data"))
+    else:
+        docs = land("documents", envelopes.read_meta(spark, raw_path, multi_line=settings.layout != "lines"))
     found = land("drift", drift.schema_drift(docs, list(settings.columns)))
-    _check_columns(found, settings, f"{root}/schema_log", logged_at or datetime.now())
+    _check_columns(found, settings, f"{root}/schema_log", logged_at)
 
     if settings.layout == "rows":
-        records = envelopes.read_record_lines(spark, raw_path)
         size = flatten.catalog_bytes(docs.count(), settings.columns)
         rows = flatten.flatten_record_lines(
             records,
@@ -101,16 +124,14 @@ def refresh_history(
             broadcast_catalog=size <= BROADCAST_LIMIT,
         )
     else:
-        raw = envelopes.read_envelopes(spark, raw_path, multi_line=multi_line)
+        raw = envelopes.read_envelopes(spark, raw_path, multi_line=settings.layout != "lines")
         rows = flatten.flatten(raw, settings.columns, keep_rejected=True)
-    snapshot = land("snapshot", rows)
+    observed = quality.ObservedChecks(rows, settings.critical, settings.ranges)
+    snapshot = land("snapshot", observed.rows)
     if not drift.has_columns(snapshot, settings.columns):
         log.warning("The snapshot has no rows")
 
-    report = land(
-        "quality",
-        quality.quality_report(snapshot, settings.critical, settings.ranges, settings.unique),
-    )
+    report = land("quality", observed.report(snapshot, settings.unique))
     _check_quality(report, settings)
 
     business = snapshot.select(*map(named, settings.columns))
@@ -118,21 +139,52 @@ def refresh_history(
     land("metadata", flatten.metadata(docs))
     land("approvals", flatten.approvals(docs))
 
-    current = versions.read_current(spark, root)
-    merged = history.scd2_merge(
-        business,
-        current,
-        settings.key,
-        settings.change_columns,
-        as_of,
-        small_source=settings.small_source,
-    )
-    land(versions.HISTORY, merged, [history.IS_CURRENT])
-
-    versions.commit(spark, root, version, as_of, tables)
+    cut = merge_history(spark, root, base, business, as_of, settings, version, run)
+    tables[versions.HISTORY] = cut.pop("written")
+    versions.commit(spark, root, version, as_of, tables, run=run, base=base, **cut)
     return version
 
 
+def merge_history(
+    spark: SparkSession,
+    root: str,
+    base: versions.Record,
+    snapshot: DataFrame,
+    as_of: date,
+    settings: Settings,
+    version: int,
+    run: str | None = None,
+) -> dict:
+    """Merge a snapshot into the history as ``base`` has it and write the result as part of ``version``.
+
+    Returns the history as ``written``, and what ``versions.commit`` must know of its buckets. With
+    ``settings.buckets``, only buckets with keys of the snapshot are read and written; the first time, or
+    where their number changes, all are. The list of touched buckets is no longer than their number.
+    """
+
+    def merged(current: DataFrame | None) -> DataFrame:
+        return history.scd2_merge(
+            snapshot, current, settings.key, settings.change_columns, as_of, small_source=settings.small_source
+        )
+
+    if not settings.buckets:
+        rows = merged(versions.read_current(spark, root, base))
+        return {"written": versions.write_version(rows, root, versions.HISTORY, version, [history.IS_CURRENT], run)}
+    bucket = versions.bucket_of(settings.key, settings.buckets)
+    keys = snapshot.filter(named(settings.key).isNotNull()).select(named(settings.key))
+    anew = base.buckets != settings.buckets and bool(base.current)
+    if anew:
+        keys = keys.union(versions.read_current(spark, root, base).select(named(settings.key)))
+    touched = sorted(r[0] for r in keys.select(bucket).distinct().collect())
+    rows = merged(versions.read_current(spark, root, base, None if anew else touched))
+    if versions.BUCKET in rows.columns:
+        raise ValueError(f"A column named {versions.BUCKET!r} would be taken for the bucket")
+    # Adaptive execution cuts large buckets over several tasks and joins small ones.
+    spread = rows.withColumn(versions.BUCKET, bucket).hint("rebalance", history.IS_CURRENT, versions.BUCKET)
+    written = versions.write_version(spread, root, versions.HISTORY, version, [history.IS_CURRENT, versions.BUCKET], run)
+    return {"written": written, "touched": touched, "buckets": settings.buckets}
+
+
 def _check_columns(
     found: DataFrame, settings: Settings, log_path: str, logged_at: datetime
 ) -> None:
@@ -157,11 +209,13 @@ def adopt_history(
     spark: SparkSession, table: DataFrame, root: str, as_of: date, settings: Settings = Settings()
 ) -> int:
     """Take over an existing table as the first version of the history under ``root``."""
-    if versions.commits(spark, root):
+    base = versions.latest(spark, root)
+    if base.version:
         raise ValueError(f"{root} already has committed versions")
     tracked = history.adopt(table, settings.key, settings.change_columns, as_of)
-    written = versions.write_version(tracked, root, versions.HISTORY, 1, [history.IS_CURRENT])
-    versions.commit(spark, root, 1, as_of, {versions.HISTORY: written})
+    run = versions.new_run()
+    written = versions.write_version(tracked, root, versions.HISTORY, 1, [history.IS_CURRENT], run)
+    versions.commit(spark, root, 1, as_of, {versions.HISTORY: written}, run=run, base=base)
     return 1
 
 
@@ -185,15 +239,16 @@ def refresh_facts(
     if current is None:
         raise ValueError(f"No history is committed under {history_root}")
     rows = normalize_columns(current)
-    version = versions.next_version(spark, facts_root)
+    base, run = versions.latest(spark, facts_root), versions.new_run()
+    version = base.version + 1
     tables = {
-        name: versions.write_version(df, facts_root, name, version)
+        name: versions.write_version(df, facts_root, name, version, run=run)
         for name, df in {
             "detail": facts.detail_fact(rows),
             "aggregate": facts.aggregate_fact(rows, as_of, keys, **measures),
         }.items()
     }
-    versions.commit(spark, facts_root, version, as_of, tables)
+    versions.commit(spark, facts_root, version, as_of, tables, run=run, base=base)
     return version
 
 

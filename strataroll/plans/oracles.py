@@ -71,9 +71,9 @@ FROM events
 
 NUMBER_SPELLINGS = """
 WITH spelled AS (
-    SELECT event_id, CASE event_id % 5
+    SELECT event_id, CASE event_id % 7
         WHEN 0 THEN event_id WHEN 1 THEN event_id * 100 + 25 WHEN 3 THEN event_id + 3000000000
-        WHEN 4 THEN event_id + 1700000000 END AS number
+        WHEN 4 THEN event_id + 1700000000 WHEN 6 THEN event_id + 1000000000 END AS number
     FROM events
 )
 SELECT event_id, TRY_CAST(number AS INTEGER) AS whole,
@@ -417,6 +417,28 @@ SELECT CAST(o_orderkey AS VARCHAR) AS order_key, status AS make, CAST(year(creat
        CAST(o_custkey AS INTEGER) AS electric_range, o_totalprice AS base_msrp
 FROM h2 WHERE is_current"""
 
+PUBLISHED_PARTS = f"""
+SELECT *, true AS is_current, DATE '2000-01-01' AS valid_from, CAST(NULL AS DATE) AS valid_to
+FROM ({MULTI_LINE_FILES})
+"""
+
+EXACT_SPREAD = """
+WITH shifted AS (
+    SELECT l_returnflag AS make, CAST(year(l_shipdate) AS INTEGER) AS model_year,
+           CAST(round(l_extendedprice * 100) AS HUGEINT) + 1000000000 AS cents
+    FROM lineitem
+),
+sums AS (
+    SELECT make, model_year, count(*) AS n, sum(cents) AS total, sum(cents * cents) AS squares
+    FROM shifted GROUP BY make, model_year
+)
+SELECT make, model_year, n AS vehicle_count,
+       CASE WHEN n > 1 THEN
+           round(sqrt(CAST(n * squares - total * total AS DOUBLE) / (CAST(n AS DOUBLE) * (n - 1))) / 100, 2)
+       END AS stddev_electric_range
+FROM sums
+"""
+
 ORACLES: dict[str, str] = {
     "column_catalog": COLUMN_CATALOG,
     "allowed_columns": f"{COLUMN_CATALOG} WHERE name <> 'id'",
@@ -426,6 +448,14 @@ ORACLES: dict[str, str] = {
     "record_line_files": RECORD_LINE_FILES,
     "multi_line_files": MULTI_LINE_FILES,
     "multi_line_files_by_row": MULTI_LINE_FILES,
+    "multi_line_files_by_range": MULTI_LINE_FILES,
+    "published_documents": PUBLISHED_PARTS,
+    "published_rows": PUBLISHED_PARTS,
+    "bucketed_history": f"{HISTORY_THREE} SELECT * FROM h3",
+    "compacted_history": f"{HISTORY_THREE} SELECT * FROM h3",
+    "widened_history": f"{HISTORY_THREE} SELECT * FROM h3",
+    "exact_spread": EXACT_SPREAD,
+    "dq_report_observed": DQ_REPORT,
     "allow_list_flatten": ALLOW_LIST_FLATTEN,
     "published_metadata": METADATA_EXTRACT,
     "published_approvals": APPROVALS_EXPLODE,

@@ -17,7 +17,7 @@ from strataroll.functions.cells import EPOCH_DATE, epoch_to_date, typed
 from strataroll.functions.names import named, normalize_columns
 from strataroll.operators import drift, facts, flatten, history, quality
 from strataroll.plans import jobs
-from strataroll.sources import envelopes, versions
+from strataroll.sources import envelopes, ranges, versions
 from strataroll.sources.shared import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -174,6 +174,36 @@ def multi_line_files_by_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten.flatten_record_lines(envelopes.read_record_lines(spark, path), docs, PART_COLUMNS)
 
 
+def multi_line_files_by_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files read by ranges of lines, whatever line a row is on."""
+    docs, records = ranges.read_ranges(spark, part_files(spark, sf_dir))
+    return flatten.flatten_record_lines(records, docs, PART_COLUMNS)
+
+
+def published_parts(spark: SparkSession, sf_dir: str, layout: str) -> DataFrame:
+    """The history that the job makes of the same files."""
+    root = shared_folder(spark, "history")
+    settings = jobs.Settings(
+        columns=PART_COLUMNS,
+        key="Part Key",
+        change_columns=("created_at",),
+        critical=("Brand",),
+        ranges={"Size": (0, 100)},
+        unique=("Part Key",),
+        layout=layout,
+    )
+    jobs.refresh_history(spark, part_files(spark, sf_dir), root, FIRST_RUN, settings)
+    return versions.read_history(spark, root)
+
+
+def published_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return published_parts(spark, sf_dir, "document")
+
+
+def published_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return published_parts(spark, sf_dir, "rows")
+
+
 def allow_list_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns and types as a stored allow-list names them; one is in no document."""
     path = shared_folder(spark, "allow-list")
@@ -276,12 +306,14 @@ def epoch_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def number_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole numbers with a fraction of zeros or an exponent, fractions, and numbers beyond an int."""
     number = F.col("event_id").cast("string")
-    kind = F.col("event_id") % 5
+    kind = F.col("event_id") % 7
     text = (
         F.when(kind == 0, F.concat(number, F.lit(".0")))
         .when(kind == 1, F.concat(number, F.lit(".25E2")))
         .when(kind == 2, F.concat(number, F.lit(".5")))
         .when(kind == 3, (F.col("event_id") + 3000000000).cast("string"))
+        .when(kind == 5, F.concat(number, F.lit(".0000001")))
+        .when(kind == 6, F.concat(F.lit("1."), F.lpad(number, 9, "0"), F.lit("E9")))
         .otherwise(F.concat((F.col("event_id") + 1700000000).cast("string"), F.lit(".000")))
     )
     return table(spark, sf_dir, "events").select(
@@ -385,6 +417,16 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dq_report_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same checks, counted while the customers are written."""
+    path = shared_folder(spark, "checked")
+    checks = quality.ObservedChecks(
+        checked_customers(spark, sf_dir), ["c_name", "c_mktsegment"], {"c_acctbal": (0, 10000), "code": (0, 24)}
+    )
+    checks.rows.write.parquet(path)
+    return checks.report(spark.read.schema(checks.rows.schema).parquet(path), ["c_custkey"])
+
+
 def dq_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether each suite passes, and its failed checks."""
     customers = table(spark, sf_dir, "customer")
@@ -546,6 +588,56 @@ def adopted_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.read_history(spark, root)
 
 
+def merge_settings(**more) -> jobs.Settings:
+    return jobs.Settings(key=KEY, change_columns=CHANGES, **more)
+
+
+def publish_step(spark: SparkSession, root: str, source: DataFrame, as_of: date, settings: jobs.Settings) -> None:
+    """One committed version of the history, merged and cut as the job does it."""
+    base, run = versions.latest(spark, root), versions.new_run()
+    cut = jobs.merge_history(spark, root, base, source, as_of, settings, base.version + 1, run)
+    tables = {versions.HISTORY: cut.pop("written")}
+    versions.commit(spark, root, base.version + 1, as_of, tables, run=run, base=base, **cut)
+
+
+def bucketed_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three snapshots in buckets by key, cut anew for the third; the second goes in by parts of its keys."""
+    root, second = shared_folder(spark, "history"), snapshot_two(spark, sf_dir)
+    publish_step(spark, root, snapshot_one(spark, sf_dir), FIRST_RUN, merge_settings(buckets=8))
+    few = versions.bucket_of(KEY, 8) < 3
+    for part in (second.filter(few), second.filter(~few)):
+        publish_step(spark, root, part, SECOND_RUN, merge_settings(buckets=8))
+    publish_step(spark, root, snapshot_three(spark, sf_dir), THIRD_RUN, merge_settings(buckets=5))
+    return versions.read_history(spark, root)
+
+
+def compacted_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three snapshots with closed rows folded two by two after each."""
+    root = shared_folder(spark, "history")
+    steps = (snapshot_one, FIRST_RUN), (snapshot_two, SECOND_RUN), (snapshot_three, THIRD_RUN)
+    for snapshot, as_of in steps:
+        publish_step(spark, root, snapshot(spark, sf_dir), as_of, merge_settings())
+        versions.compact(spark, root, 2)
+    return versions.read_history(spark, root)
+
+
+def widened_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three snapshots whose types widen from one to the next: int to bigint to decimal, date to timestamp."""
+    root = shared_folder(spark, "history")
+    kinds = ("int", "date"), ("bigint", "date"), ("decimal(25,2)", "timestamp_ntz")
+    steps = (snapshot_one, FIRST_RUN), (snapshot_two, SECOND_RUN), (snapshot_three, THIRD_RUN)
+    for (snapshot, as_of), (number, time) in zip(steps, kinds, strict=True):
+        typed_rows = snapshot(spark, sf_dir).withColumns(
+            {"o_custkey": F.col("o_custkey").cast(number), "updated_at": F.col("updated_at").cast(time)}
+        )
+        publish_step(spark, root, typed_rows, as_of, merge_settings())
+    rows = versions.read_history(spark, root)
+    types = dict(rows.dtypes)
+    if (types["o_custkey"], types["updated_at"]) != ("decimal(25,2)", "timestamp_ntz"):
+        raise ValueError(f"The history did not widen: {types}")
+    return rows.withColumns({"o_custkey": F.col("o_custkey").cast("bigint"), "updated_at": F.col("updated_at").cast("date")})
+
+
 # --- facts ----------------------------------------------------------------------------------------
 
 
@@ -600,6 +692,18 @@ def curated_aggregate_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.aggregate_fact(registrations, date(2000, 6, 1), keys)
 
 
+def exact_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices moved far from zero, where sums of squares of doubles lose the spread."""
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("make"),
+        F.year(F.col("l_shipdate").cast("date")).alias("model_year"),
+        (F.col("l_extendedprice").cast("decimal(20,2)") + 10000000).alias("electric_range"),
+        F.col("l_extendedprice").alias("base_msrp"),
+    )
+    out = facts.aggregate_fact(rows, date(2010, 1, 1), ["make", "model_year"])
+    return out.select("make", "model_year", "vehicle_count", "stddev_electric_range")
+
+
 def line_registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with the default grouping columns; open items have no model year."""
     shipped = F.col("l_shipdate").cast("date")
@@ -702,6 +806,14 @@ QUERIES: dict[str, Query] = {
     "record_line_files": record_line_files,
     "multi_line_files": multi_line_files,
     "multi_line_files_by_row": multi_line_files_by_row,
+    "multi_line_files_by_range": multi_line_files_by_range,
+    "published_documents": published_documents,
+    "published_rows": published_rows,
+    "bucketed_history": bucketed_history,
+    "compacted_history": compacted_history,
+    "widened_history": widened_history,
+    "exact_spread": exact_spread,
+    "dq_report_observed": dq_report_observed,
     "allow_list_flatten": allow_list_flatten,
     "published_metadata": published_metadata,
     "published_approvals": published_approvals,

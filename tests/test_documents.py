@@ -270,3 +270,13 @@ def test_many_new_columns_are_counted_not_listed(spark, tmp_path):
     assert 1 < len(lines) <= 3 and sum(line.count("'c") for line in lines) == 250
     with pytest.raises(ValueError, match="250 of them"):
         drift.schema_gate(found, log, datetime(2025, 4, 11, 10))
+
+
+@pytest.mark.parametrize("text, whole", [
+    ("75", 75), ("75.0", 75), ("75.", 75), ("+75.00", 75), ("7.5E1", 75), ("1.7E3", 1700), (" 75.0 ", 75), ("-0.0", 0), ("75.0000001", None),
+    ("74.9999999", None), ("75." + "0" * 30 + "1", None), ("7.55E1", None), ("1.7E-1", None), ("x", None), ("", None), (None, None),
+    ("99999999999.0", None),
+])
+def test_whole_numbers_in_any_spelling(spark, text, whole):
+    df = spark.createDataFrame([(text,)], "c string")
+    assert df.select(typed(F.col("c"), "int")).first()[0] == whole

@@ -1,4 +1,7 @@
+import math
+import statistics
 from datetime import date
+from fractions import Fraction
 
 import pytest
 
@@ -66,3 +69,33 @@ def test_means_do_not_depend_on_the_order_of_rows(spark):
         for n in (1, 7, 30)
     }
     assert means == {500000000000000.04}
+
+
+def spread_of(spark, values, parts, kind="double"):
+    rows = spark.createDataFrame([(v,) for v in values], f"electric_range {kind}").selectExpr(
+        "'m' AS make", "'2020' AS model_year", "electric_range", "1 AS base_msrp"
+    )
+    return facts.aggregate_fact(rows.repartition(parts), AS_OF, ["make", "model_year"]).first().stddev_electric_range
+
+
+@pytest.mark.parametrize("shift", [0, 0.1, 1e6, -3e9, 1e12])
+def test_spread_does_not_depend_on_the_order_of_rows(spark, shift):
+    values = [shift + (i * 7919 % 1000) / 8 for i in range(3000)]
+    exact = statistics.stdev([Fraction(v).limit_denominator(10**6) for v in values])
+    assert {spread_of(spark, values, n) for n in (1, 3, 200)} == {round(float(exact), 2)}
+
+
+@pytest.mark.parametrize("values, spread", [
+    ([5.0], None), ([], None), ([None, None], None), ([2.0, 2.0], 0.0), ([1e6 + 0.1] * 3, 0.0),
+    ([0.0, 1e14], 70710678118654.75), ([1.0, float("nan")], float("nan")),
+])
+def test_spread_of_few_and_of_large_measures(spark, values, spread):
+    if values:
+        got = spread_of(spark, values, 2)
+        assert got == spread or (spread and (got != got) == (spread != spread) and (got != got or math.isclose(got, spread)))
+
+
+def test_means_of_measures_beyond_decimals(spark):
+    rows = spark.createDataFrame([("m", 2020, 1.0, 1e25), ("m", 2020, 1e30, 3e25), ("n", 2020, 1.0, 2.0)], "make string, model_year int, electric_range double, base_msrp double")
+    got = {r.make: (r.avg_electric_range, r.avg_base_msrp) for r in facts.aggregate_fact(rows, AS_OF, ["make", "model_year"]).collect()}
+    assert got == {"m": (5e29, 2e25), "n": (1.0, 2.0)}

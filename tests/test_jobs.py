@@ -226,3 +226,48 @@ def test_allowed_columns_by_session(spark, tmp_path):
     listed = tmp_path / "listed.json"
     listed.write_text('{\n "allowed_columns": ["Make"]\n}')
     assert jobs.load_allowed_columns(str(listed), spark) == {"Make": "string"}
+
+
+def test_rows_under_another_catalogue_are_never_read(spark, tmp_path):
+    """Two documents in one file, the second with its columns in another order."""
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    texts = []
+    for names in ("ab", "ba"):
+        view = {"columns": [{"fieldName": n, "name": n} for n in names]}
+        texts.append('{"meta":\n' + json.dumps({"view": view}) + ',\n"data":[\n' + json.dumps([n.upper() for n in names]) + "\n]}")
+    (folder / "a.json").write_text("\n".join(texts))
+    chosen = jobs.Settings(columns={"a": "string", "b": "string"}, key="a", change_columns=("b",), critical=("a",), ranges={}, unique=("a",))
+    for layout in ("document", "rows"):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            jobs.refresh_history(spark, str(folder), str(tmp_path / layout), date(2025, 6, 1), replace(chosen, layout=layout))
+    (folder / "a.json").write_text(texts[0])
+    (folder / "b.json").write_text(json.dumps(json.loads(texts[1].replace("A", "C").replace("B", "D")), indent=1))
+    for layout in ("document", "rows"):
+        root = str(tmp_path / layout)
+        assert jobs.refresh_history(spark, str(folder), root, date(2025, 6, 1), replace(chosen, layout=layout)) == 1
+        assert sorted((r.a, r.b) for r in v.read_current(spark, root).collect()) == [("A", "B"), ("C", "D")]
+
+
+def test_job_in_buckets_with_compaction(spark, tmp_path):
+    cut, plain = str(tmp_path / "cut"), str(tmp_path / "plain")
+    for n, cars in enumerate([FIRST, SECOND, [car("a", updated=7)], [car("b", updated=8)]], 1):
+        path = raw(tmp_path / f"r{n}", cars)
+        jobs.refresh_history(spark, path, cut, date(2025, 6, n), jobs.Settings(buckets=4, compact_after=2))
+        jobs.refresh_history(spark, path, plain, date(2025, 6, n))
+    assert brief(v.read_history(spark, cut)) == brief(v.read_history(spark, plain))
+    assert len(v.latest(spark, cut).closed) < 4 == len(v.latest(spark, plain).closed)
+
+
+def test_the_landing_write_is_the_only_scan_for_fused_checks(spark, tmp_path, monkeypatch):
+    read = []
+    real = v.write_version
+
+    def write(df, root, table, *args):
+        if table == "quality":
+            read.append(df._jdf.queryExecution().optimizedPlan().toString().count("Relation"))
+        return real(df, root, table, *args)
+
+    monkeypatch.setattr(v, "write_version", write)
+    jobs.refresh_history(spark, raw(tmp_path / "r1", FIRST), str(tmp_path / "h"), date(2025, 6, 1))
+    assert read == [1]  # the uniqueness check alone

@@ -62,3 +62,21 @@ def test_one_pass_for_everything_but_uniqueness(spark, tmp_path):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("FileScan") == 2
     assert "unused" not in text
+
+
+def test_observed_checks_equal_the_report_without_another_scan(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [(1, "a", 1.5, None), (1, None, float("nan"), "x"), (None, "c", -7.0, "y")], "k int, t string, d double, e__rejected string"
+    )
+    arguments = ["t", "k"], {"d": (0, 1), "t": (0, 1), "k": (0, 5)}
+    for name, frame in (("some", rows), ("none", rows.filter("k = 99")), ("wide", rows.repartition(7))):
+        checks = q.ObservedChecks(frame, *arguments)
+        path = str(tmp_path / name)
+        checks.rows.write.parquet(path)
+        written = spark.read.parquet(path)
+        report = checks.report(written, ["k"])
+        assert sorted(map(str, report.collect())) == sorted(map(str, q.quality_report(written, *arguments, ["k"]).collect()))
+        scans = checks.report(written)._jdf.queryExecution().optimizedPlan().toString().count("Relation")
+        assert scans == 0
+    with pytest.raises(ValueError):
+        q.ObservedChecks(rows.select("k")).report(rows)
