@@ -111,6 +111,7 @@ QUERIES: dict[str, Query] = {
     )
 }
 ORACLES: dict[str, str] = {
+    "op5_top_k": top_k.TOP_K_SQL,
     "op12_hard_negatives": hard_negatives.MINE_SQL,
     "op13_divergence": divergence.AUDIT_SQL,
 }

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strataroll.llm.common import saved
+from strataroll.llm.hard_negatives import LEAST, MOST, products
 
 DATA_ROWS, QUERY_ROWS = 8192, 16384
 #: Children of a node, and rows of a leaf.
@@ -33,17 +34,23 @@ class Node:
     worst: float = -np.inf  # for queries: smallest k-th score within
 
 
+def distances(x: np.ndarray, rows: np.ndarray, center: int) -> np.ndarray:
+    """Distances from a row; infinite where they leave the range of a double."""
+    with np.errstate(all="ignore"):
+        return np.nan_to_num(np.sqrt(((x[rows] - x[center]) ** 2).sum(1)), nan=np.inf, posinf=np.inf)
+
+
 def cover_tree(x: np.ndarray, rows: np.ndarray, leaf: int, center: int | None = None) -> Node:
     """Children are the net that farthest-first choice finds, which covers and separates alike."""
     center = rows[0] if center is None else center
-    away = np.sqrt(((x[rows] - x[center]) ** 2).sum(1))
+    away = distances(x, rows, center)
     node = Node(x[center], float(away.max(initial=0)), rows)
-    if len(rows) <= leaf or node.radius == 0:
+    if len(rows) <= leaf or not 0 < node.radius < np.inf:
         return node
     chosen, near, owner = [center], away, np.zeros(len(rows), np.int64)
     while len(chosen) < FANOUT and near.max() > 0:
         chosen.append(rows[int(near.argmax())])
-        d = np.sqrt(((x[rows] - x[chosen[-1]]) ** 2).sum(1))
+        d = distances(x, rows, chosen[-1])
         owner[d < near] = len(chosen) - 1
         near = np.minimum(near, d)
     for i, c in enumerate(chosen):
@@ -58,8 +65,8 @@ class Search:
 
     def __init__(self, q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int):
         self.q, self.q_ids, self.x, self.ids, self.k = q, q_ids, x, ids, k
-        self.scores = np.full((len(q), k), -np.inf)
-        self.found = np.full((len(q), k), np.iinfo(np.int64).max)
+        self.scores = np.full((len(q), k), LEAST)
+        self.found = np.full((len(q), k), MOST)
 
     def run(self) -> None:
         queries = cover_tree(self.q, np.arange(len(self.q)), QUERY_LEAF)
@@ -68,10 +75,15 @@ class Search:
 
     @staticmethod
     def best(a: Node, b: Node) -> float:
-        """No product of rows of the nodes is above this; the slack is for rounding."""
-        bound = a.center @ b.center + np.linalg.norm(a.center) * b.radius
-        bound += np.linalg.norm(b.center) * a.radius + a.radius * b.radius
-        return bound + 1e-9 * abs(bound) + 1e-6
+        """No product of rows of the nodes is above this; the slack is for rounding.
+
+        Where it leaves the range of a double nothing is known. Scores are at least LEAST.
+        """
+        with np.errstate(all="ignore"):
+            lengths = np.linalg.norm(a.center), np.linalg.norm(b.center)
+            reach = lengths[0] * b.radius + lengths[1] * a.radius + a.radius * b.radius
+            bound = a.center @ b.center + reach + 1e-9 * (lengths[0] * lengths[1] + reach) + 1
+        return np.inf if np.isnan(bound) else max(float(bound), float(LEAST))
 
     def descend(self, a: Node, b: Node, bound: float) -> None:
         if bound < a.worst:
@@ -87,35 +99,36 @@ class Search:
 
     def compare(self, a: Node, b: Node) -> None:
         q, x = a.rows, b.rows
-        scores = self.q[q] @ self.x[x].T
-        scores[self.q_ids[q][:, None] == self.ids[x][None, :]] = -np.inf  # a query's own row
-        scores = np.hstack([self.scores[q], scores])
-        ids = np.hstack([self.found[q], np.broadcast_to(self.ids[x], (len(q), len(x)))])
-        order = np.lexsort((ids, -scores), axis=1)[:, : self.k]
+        scores = products(self.q[q], self.x[x])
+        ids = np.broadcast_to(self.ids[x], scores.shape)
+        own = self.q_ids[q][:, None] == ids
+        scores = np.hstack([self.scores[q], np.where(own, LEAST, scores)])
+        ids = np.hstack([self.found[q], np.where(own, MOST, ids)])
+        order = np.lexsort((ids, ~scores), axis=1)[:, : self.k]  # ~ turns the order round
         self.scores[q] = np.take_along_axis(scores, order, 1)
         self.found[q] = np.take_along_axis(ids, order, 1)
-        a.worst = float(self.scores[q, -1].min())
+        full = (self.found[q, -1] != MOST).all()
+        a.worst = float(self.scores[q, -1].min()) if full else -np.inf
 
 
 def usable(vectors: DataFrame) -> DataFrame:
     """``vec_id, v``: components as floor(256 x), for vectors that take part."""
-    x = F.col("embedding")
-    fine = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(2.0**50)))
-    scaled = F.transform(x, lambda c: F.floor(c.cast("double") * 256).cast("double"))
-    square = F.aggregate(scaled, F.lit(0.0), lambda s, c: s + c * c)
-    rows = vectors.filter(F.col("vec_id").isNotNull() & x.isNotNull() & fine)
-    rows = rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), scaled.alias("v"))
-    return rows.filter(F.col("v").isNotNull() & (F.aggregate("v", F.lit(0.0), lambda s, c: s + c * c) < 2.0**53)).distinct()
+    x = F.transform(F.col("embedding"), lambda c: c.cast("double"))
+    # From 2^50 on 256 x is a whole number; floor would make it a long.
+    whole = F.transform(x, lambda c: F.when(F.abs(c) < 2.0**50, F.floor(c * 256).cast("double")).otherwise(c * 256))
+    finite = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
+    rows = vectors.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull())
+    return rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), whole.alias("v")).filter(finite).distinct()
 
 
 def top_k(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each vector whose id ``every`` divides, the ``k`` best others.
 
     The score is the inner product of the components as floor(256 x); ties go to the smaller id.
-    Null vectors, null ids, and vectors with a null or non-finite component take no part; nor do those
-    of a squared length of 2^53 or more in the scaled components, whose products need more than 53 bits. Vectors of
+    Null vectors, null ids, and vectors with a component that is null or not finite (times 256) take no part.
+    Scores are exact however large the components; one beyond a long counts as its nearest end. Vectors of
     different lengths aren't compared. Rows alike in id and vector count once; all rows with
-    a query's id are its own and no candidates. An empty table gives no rows.
+    a query's id are its own and no candidates. Further columns are ignored. An empty table gives no rows.
     """
     rows = saved(usable(vectors).withColumn("size", F.size("v")), "vectors")
     # Of equal vectors the k + 1 smallest ids can be in a result; ranking them combines before the shuffle.
@@ -139,9 +152,9 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
         ids = left.column("vec_id").to_numpy()
         s = Search(matrix(left), ids, matrix(right), right.column("vec_id").to_numpy(), k)
         s.run()
-        at, place = np.nonzero(np.isfinite(s.scores))
+        at, place = np.nonzero(s.found != MOST)
         columns = [ids[at], left.column("version").to_numpy()[at], s.found[at, place]]
-        columns.append(s.scores[at, place].astype(np.int64))
+        columns.append(s.scores[at, place])
         return pa.table([pa.array(c) for c in columns], names=EMPTY.column_names)
 
     key = ["size", "block", "piece"]
@@ -159,3 +172,19 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
 EMPTY = pa.table(
     {c: pa.array([], pa.int64()) for c in ("query_id", "version", "vec_id", "score")}
 )
+
+#: The registered query in SQL, every query against every row.
+TOP_K_SQL = """
+WITH e AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, hash(q.v) AS version, e.vec_id,
+    max(CAST(list_inner_product(q.v, e.v) AS BIGINT)) AS score
+  FROM e q JOIN e ON q.vec_id <> e.vec_id AND len(q.v) = len(e.v) WHERE q.vec_id % 50 = 0
+  GROUP BY q.vec_id, hash(q.v), e.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id, version ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
