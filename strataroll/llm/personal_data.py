@@ -85,7 +85,7 @@ def dotted(text: str) -> Iterator[tuple[int, int, bool]]:
         for i in range(0, len(parts) - 3, 4):
             four = parts[i : i + 4]
             size = sum(map(len, four)) + 3
-            yield at, at + size, all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in four)
+            yield at, at + size, all(len(d := p.lstrip("0")) <= 3 and int(d or 0) <= 255 for p in four)
             at += size + 1
 
 
