@@ -30,11 +30,15 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 #: Bits a character that a window of a class must reach. Random text of 20 characters has
 #: about 3.4 in hexadecimal and 4.1 in base 64; words have less than 3.5.
 LEAST_BITS = {"hex": 3.1, "alphanumeric": 3.75, "base64": 3.75}
-# Allow list: what looks random and is not secret.
+# Allow list: what looks random and is not secret. Only the part of a candidate that has such a form is left out.
+ALLOWED_PART = re.compile(
+    r"(?<![0-9A-Za-z])(?:"
+    r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"  # identifiers
+    r"|sha256-[A-Za-z0-9+/]{43}=?|sha384-[A-Za-z0-9+/]{64}|sha512-[A-Za-z0-9+/]{86}(?:==)?"  # checksums of scripts
+    r")(?![0-9A-Za-z])"
+    r"|(?i:[0-9A-Za-z]*(?:example|sample|dummy|placeholder|changeme|redacted|xxxx)[0-9A-Za-z]*)"
+)
 ALLOWED = (
-    re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),  # identifiers
-    re.compile(r"(?i).*(?:example|sample|dummy|placeholder|changeme|redacted|xxxx)"),
-    re.compile(r"sha(?:256|384|512)-"),  # checksums of scripts
     re.compile(r"[A-Za-z]+(?:[-_/=+][A-Za-z]*)*$"),  # words and paths without a digit
     re.compile(r"[-+=/_0-9]+$"),  # numbers and rules
 )
@@ -92,17 +96,26 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Spans of high entropy that no allowed form explains and no base span holds."""
     found = []
-    for m in CANDIDATE.finditer(text):
-        candidate = m[0]
+    for start, candidate in (piece for m in CANDIDATE.finditer(text) for piece in unexplained(m)):
         if any(form.match(candidate) for form in ALLOWED):
             continue
         for a, b in entropy_spans(candidate):
-            a, b = a + m.start(), b + m.start()
+            a, b = a + start, b + start
             if not any(s <= a and b <= e for s, e, _ in base):
                 found.append((a, b, 3))
     return found
 
 
+def unexplained(candidate: re.Match) -> Iterator[tuple[int, str]]:
+    """What is left of a candidate between its allowed parts, with its place, if a window fits in."""
+    text, at = candidate[0], 0
+    for part in [*ALLOWED_PART.finditer(text), None]:
+        end = part.start() if part else len(text)
+        if end - at >= WINDOW:
+            yield candidate.start() + at, text[at:end]
+        at = part.end() if part else end
+
+
 def written(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, b, k in spans)
 
