@@ -94,13 +94,15 @@ def permuted(index: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
 
 
 def numbered(docs: DataFrame, id_col: str, with_text: bool = False) -> DataFrame:
-    """``row, doc_id, source, size`` of each row, and its text if asked for, written once.
+    """``row, mark, doc_id, source, size`` of each row, and its text if asked for, written once.
 
-    The write fixes the row numbers, which tell repeated rows apart.
+    The write fixes the row numbers. They only tell rows apart that are alike in id and text, which ``mark`` stands
+    for, so places in the mix don't depend on how the table is cut.
     """
     words = F.regexp_count(text_or_empty(), F.lit(WORD)).cast("bigint")
     columns = [
         F.monotonically_increasing_id().alias("row"),
+        F.xxhash64(text_or_empty()).alias("mark"),
         F.col(id_col).cast("bigint").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         words.alias("size"),
@@ -173,9 +175,9 @@ def pack(base: DataFrame, sources: DataFrame) -> DataFrame:
     up in order. So no source, however large, passes through one task.
     """
     placed = base.join(sources, base["source"].eqNullSafe(sources["source"])).select(
-        "row", "doc_id", "size", "source_no", F.pmod(F.xxhash64("row"), F.col("pieces")).alias("piece")
+        "row", "mark", "doc_id", "size", "source_no", F.pmod(F.xxhash64("doc_id", "mark"), F.col("pieces")).alias("piece")
     )
-    order = Window.partitionBy("source_no", "piece").orderBy("doc_id", "row")
+    order = Window.partitionBy("source_no", "piece").orderBy("doc_id", "mark", "row")
     local = placed.filter("size > 0").select("*", (F.sum("size").over(order) - F.col("size")).alias("in_piece"))
     totals = placed.groupBy("source_no", "piece").agg(F.sum("size").alias("words"))
     before = F.sum("words").over(Window.partitionBy("source_no").orderBy("piece")) - F.col("words")
