@@ -27,6 +27,7 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
         "--range", nargs=3, action="append", metavar=("COLUMN", "LOW", "HIGH"), help="bounds to check; repeatable"
     )
     parser.add_argument("--small-source", action="store_true", help="snapshots are small beside the history")
+    parser.add_argument("--sketched", action="store_true", help="keep sketches of the unique columns")
     parser.add_argument("--buckets", type=int, default=usual.buckets, help="cut current rows by key, write only touched buckets")
     parser.add_argument("--compact-after", type=int, default=usual.compact_after, help="fold so many folders of closed rows")
     parser.add_argument("--attempts", type=int, default=usual.attempts, help="runs, where another writer commits first")
@@ -58,6 +59,7 @@ def settings(args: argparse.Namespace, spark: SparkSession | None = None) -> job
         on_failed_checks=args.on_failed_checks,
         layout=args.layout,
         small_source=args.small_source,
+        sketched=args.sketched,
         buckets=args.buckets,
         compact_after=args.compact_after,
         attempts=args.attempts,

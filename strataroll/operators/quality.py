@@ -17,7 +17,7 @@ Bounds = tuple[float, float]
 COMPLETENESS, RANGE, UNIQUENESS, CONVERSION = "completeness", "range", "uniqueness", "conversion"
 
 
-def _line(
+def report_line(
     check: str,
     column: str,
     violations: Column,
@@ -78,12 +78,12 @@ def _fused_checks(
         return F.col(f"m{len(sums) - 1}")
 
     for name in critical:
-        lines.append(_line(COMPLETENESS, name, total(F.count_if(named(name).isNull()))))
+        lines.append(report_line(COMPLETENESS, name, total(F.count_if(named(name).isNull()))))
     for name, (lower, upper) in ranges.items():
         if not isinstance(types.get(name), T.NumericType):
             # As a failed check: the caller asked for a range that cannot be judged.
             lines.append(
-                _line(
+                report_line(
                     RANGE,
                     name,
                     F.lit(0),
@@ -100,7 +100,7 @@ def _fused_checks(
         low, high = total(F.min(value)), total(F.max(value))
         violations = total(F.count_if(outside))
         lines.append(
-            _line(
+            report_line(
                 RANGE,
                 name,
                 violations,
@@ -114,7 +114,7 @@ def _fused_checks(
     for name in types:
         if name.endswith(REJECTED):
             lines.append(
-                _line(CONVERSION, name.removesuffix(REJECTED), total(F.count(named(name))))
+                report_line(CONVERSION, name.removesuffix(REJECTED), total(F.count(named(name))))
             )
     if not lines:
         return None
@@ -128,24 +128,33 @@ class ObservedChecks:
     Write ``rows`` in full once, then ask for the ``report``: it scans nothing again but the unique columns.
     """
 
-    def __init__(self, df: DataFrame, critical: Sequence[str] = (), ranges: Mapping[str, Bounds] | None = None):
+    def __init__(
+        self,
+        df: DataFrame,
+        critical: Sequence[str] = (),
+        ranges: Mapping[str, Bounds] | None = None,
+        more: Sequence[Column] = (),
+    ):
         self.fused = _fused_checks(df, critical, ranges or {})
+        self.totals = [*(self.fused[0] if self.fused else []), *more]
         self.rows, self.observation, self.schema = df, None, None
-        if self.fused:
+        if self.totals:
             self.observation = Observation()
-            self.schema = df.agg(*self.fused[0]).schema
-            self.rows = df.observe(self.observation, *self.fused[0])
+            self.schema = df.agg(*self.totals).schema
+            self.rows = df.observe(self.observation, *self.totals)
+
+    def counted(self, written: DataFrame) -> DataFrame:
+        """One row of all that was counted, ``more`` aggregates included."""
+        found = self.observation.get
+        if found.keys() == set(self.schema.names):
+            return written.sparkSession.createDataFrame([tuple(found[n] for n in self.schema.names)], self.schema)
+        return written.agg(*self.totals)  # no task saw a row, and the plan was cut short
 
     def report(self, written: DataFrame, unique: Sequence[str] = ()) -> DataFrame:
         """The report of ``quality_report`` for the rows; ``written`` is where they can be read again."""
         parts = []
         if self.fused:
-            counted = self.observation.get
-            if counted.keys() == set(self.schema.names):
-                totals = written.sparkSession.createDataFrame([tuple(counted[n] for n in self.schema.names)], self.schema)
-            else:  # no task saw a row, and the plan was cut short
-                totals = written.agg(*self.fused[0])
-            parts.append(totals.select(F.inline(F.array(*self.fused[1]))))
+            parts.append(self.counted(written).select(F.inline(F.array(*self.fused[1]))))
         parts += [uniqueness(written, column) for column in unique]
         if not parts:
             raise ValueError("No checks are given")
@@ -161,7 +170,7 @@ def uniqueness(df: DataFrame, column: str) -> DataFrame:
     counted = df.agg(
         F.count("*").alias("rows"), F.count_distinct(named(column)).alias("distinct_values")
     )
-    line = _line(UNIQUENESS, column, F.col("rows") - F.col("distinct_values"))
+    line = report_line(UNIQUENESS, column, F.col("rows") - F.col("distinct_values"))
     return counted.select(F.inline(F.array(line)))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataroll.functions.names import named, normalize_columns
-from strataroll.operators import drift, facts, flatten, history, quality
+from strataroll.operators import drift, facts, flatten, history, quality, sketches
 from strataroll.plans import defaults
 from strataroll.sources import envelopes, ranges, versions
 
@@ -32,6 +32,8 @@ class Settings:
     critical: Sequence[str] = tuple(defaults.CRITICAL)
     ranges: Mapping[str, quality.Bounds] = field(default_factory=lambda: dict(defaults.RANGES))
     unique: Sequence[str] = tuple(defaults.UNIQUE)
+    #: Keep a sketch of each unique column with every version. It settles checks that certainly fail.
+    sketched: bool = False
     on_new_columns: str = "warn"
     on_failed_checks: str = "warn"
     # "document": one document per file; "lines": one per line; "rows": one per file, read by ranges of lines.
@@ -78,7 +80,7 @@ def refresh_history(
     Raw text is parsed twice, once per half: ``meta`` (skipping the rows) and ``data``. Both land
     as Parquet, and everything after reads that; checks but uniqueness are counted while the snapshot is
     written. All tables share one version and appear together:
-    ``documents, drift, snapshot, quality, quarantine, metadata, approvals, history``.
+    ``documents, drift, snapshot, quality, quarantine, metadata, approvals, history``, and ``sketches`` if asked for.
     """
     for left in reversed(range(settings.attempts)):
         try:
@@ -126,12 +128,19 @@ def _refresh_history(
     else:
         raw = envelopes.read_envelopes(spark, raw_path, multi_line=settings.layout != "lines")
         rows = flatten.flatten(raw, settings.columns, keep_rejected=True)
-    observed = quality.ObservedChecks(rows, settings.critical, settings.ranges)
+    more = sketches.sketch_columns(rows, settings.unique) if settings.sketched else []
+    observed = quality.ObservedChecks(rows, settings.critical, settings.ranges, more)
     snapshot = land("snapshot", observed.rows)
     if not drift.has_columns(snapshot, settings.columns):
         log.warning("The snapshot has no rows")
 
-    report = land("quality", observed.report(snapshot, settings.unique))
+    if settings.sketched:
+        kept = land("sketches", sketches.sketch_table(observed.counted(snapshot), settings.unique))
+        checks = sketches.uniqueness(snapshot, kept)
+        checks = checks.unionByName(observed.report(snapshot)) if observed.fused else checks
+    else:
+        checks = observed.report(snapshot, settings.unique)
+    report = land("quality", checks)
     _check_quality(report, settings)
 
     business = snapshot.select(*map(named, settings.columns))

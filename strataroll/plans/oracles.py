@@ -417,6 +417,28 @@ SELECT CAST(o_orderkey AS VARCHAR) AS order_key, status AS make, CAST(year(creat
        CAST(o_custkey AS INTEGER) AS electric_range, o_totalprice AS base_msrp
 FROM h2 WHERE is_current"""
 
+DQ_UNIQUENESS_SKETCHED = """
+SELECT 'uniqueness' AS "check", c AS "column", count(*) = count(DISTINCT v) AS passed,
+       CASE WHEN count(*) <> count(DISTINCT v) THEN true END AS by_sketch
+FROM (
+    SELECT 'o_orderkey' AS c, CAST(o_orderkey AS VARCHAR) AS v FROM orders
+    UNION ALL SELECT 'o_custkey', CAST(o_custkey AS VARCHAR) FROM orders
+    UNION ALL SELECT 'o_orderpriority', o_orderpriority FROM orders)
+GROUP BY c
+"""
+
+DISTINCT_OVER_VERSIONS = f"""
+WITH {SNAPSHOTS},
+every AS (SELECT * FROM one UNION ALL BY NAME SELECT * FROM two UNION ALL BY NAME SELECT * FROM three),
+listed AS (
+    SELECT 'o_orderkey' AS c, CAST(o_orderkey AS VARCHAR) AS v FROM every
+    UNION ALL SELECT 'o_custkey', CAST(o_custkey AS VARCHAR) FROM every
+    UNION ALL SELECT 'updated_at', CAST(updated_at AS VARCHAR) FROM every)
+SELECT c AS "column", count(*) AS rows, count(*) - count(v) AS missing, count(DISTINCT v) AS exact,
+       true AS within, true AS close
+FROM listed GROUP BY c
+"""
+
 PUBLISHED_PARTS = f"""
 SELECT *, true AS is_current, DATE '2000-01-01' AS valid_from, CAST(NULL AS DATE) AS valid_to
 FROM ({MULTI_LINE_FILES})
@@ -456,6 +478,8 @@ ORACLES: dict[str, str] = {
     "widened_history": f"{HISTORY_THREE} SELECT * FROM h3",
     "exact_spread": EXACT_SPREAD,
     "dq_report_observed": DQ_REPORT,
+    "dq_uniqueness_sketched": DQ_UNIQUENESS_SKETCHED,
+    "distinct_over_versions": DISTINCT_OVER_VERSIONS,
     "allow_list_flatten": ALLOW_LIST_FLATTEN,
     "published_metadata": METADATA_EXTRACT,
     "published_approvals": APPROVALS_EXPLODE,

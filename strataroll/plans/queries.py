@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from strataroll.functions.cells import EPOCH_DATE, epoch_to_date, typed
 from strataroll.functions.names import named, normalize_columns
-from strataroll.operators import drift, facts, flatten, history, quality
+from strataroll.operators import drift, facts, flatten, history, quality, sketches
 from strataroll.plans import jobs
 from strataroll.sources import envelopes, ranges, versions
 from strataroll.sources.shared import shared_folder
@@ -427,6 +427,33 @@ def dq_report_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.report(spark.read.schema(checks.rows.schema).parquet(path), ["c_custkey"])
 
 
+def dq_uniqueness_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uniqueness of order columns: keys by the exact check, the others by their sketches, whose counts are estimates."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    found = sketches.uniqueness(orders, sketches.column_sketches(orders, orders.columns))
+    return found.select("check", "column", "passed", F.col("note").startswith("estimated").alias("by_sketch"))
+
+
+def distinct_over_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, missing values and distinct values of three snapshots from their merged sketches, beside the exact number.
+
+    Estimates are given as whether they, and the bounds, hold the exact number.
+    """
+    root, columns = shared_folder(spark, "sketches"), ["o_orderkey", "o_custkey", "updated_at"]
+    snapshots = [snapshot(spark, sf_dir).select(*columns) for snapshot in (snapshot_one, snapshot_two, snapshot_three)]
+    for version, rows in enumerate(snapshots, 1):
+        stored = versions.write_version(sketches.column_sketches(rows, columns), root, "sketches", version)
+        versions.commit(spark, root, version, FIRST_RUN, {"sketches": stored})
+    merged = sketches.distinct_counts(sketches.merged_sketches(versions.read_versions(spark, root, "sketches")))
+    every = reduce(DataFrame.union, snapshots)
+    line = lambda c: F.struct(F.lit(c).alias("column"), F.count_distinct(c).alias("exact"))
+    exact = reduce(DataFrame.union, [every.agg(line(c).alias("line")).select("line.*") for c in columns])
+    close = F.abs(F.col("distinct_values") - F.col("exact")) <= sketches.SIGMAS * sketches.standard_error() * F.col("exact")
+    return merged.join(exact, "column").select(
+        "column", "rows", "missing", "exact", F.col("exact").between(F.col("low"), F.col("high")).alias("within"), close.alias("close")
+    )
+
+
 def dq_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether each suite passes, and its failed checks."""
     customers = table(spark, sf_dir, "customer")
@@ -814,6 +841,8 @@ QUERIES: dict[str, Query] = {
     "widened_history": widened_history,
     "exact_spread": exact_spread,
     "dq_report_observed": dq_report_observed,
+    "dq_uniqueness_sketched": dq_uniqueness_sketched,
+    "distinct_over_versions": distinct_over_versions,
     "allow_list_flatten": allow_list_flatten,
     "published_metadata": published_metadata,
     "published_approvals": published_approvals,

@@ -245,6 +245,24 @@ def read_table(spark: SparkSession, root: str, table: str, record: Record | None
     return _read(spark, _schema(record.schemas[table]), f"{root}/{table}/{record.folders[table]}")
 
 
+def read_versions(spark: SparkSession, root: str, table: str) -> DataFrame | None:
+    """All versions of a table that is not the history, with the ``version`` that wrote each row, or None.
+
+    Reads the folders and schemas from the records of those versions: a short row for each.
+    """
+    schema = "version int, tables map<string, string>, folders map<string, string>"
+    found = if_present(lambda: spark.read.schema(schema).json(f"{root}/{COMMITS}"))
+    if found is None:
+        return None
+    wrote = found.filter(F.map_contains_key("tables", table))
+    rows = wrote.select("version", F.col("tables")[table].alias("schema"), F.col("folders")[table].alias("folder")).collect()
+    frames = [
+        _read(spark, _schema(r.schema), f"{root}/{table}/{r.folder}").withColumn("version", F.lit(r.version))
+        for r in sorted(rows, key=lambda r: r.version)
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None
+
+
 def _of_history(spark: SparkSession, root: str, record: Record, parts: Mapping[str, str]) -> DataFrame:
     """Folders of the history (each path with the folder whose schema it has) under the newest schema.
 
