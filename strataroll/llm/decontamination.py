@@ -8,6 +8,7 @@ that overlap by half; bands that reach the bound are aligned, and matches within
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,10 +30,21 @@ _FOLD = bytes(32 if b in b"\t\n\v\f\r" else b + 32 if 65 <= b <= 90 else b for b
 HASH = np.uint64(0x9E3779B97F4A7C15)
 
 
+#: Characters that take other bytes in lower case. They stay as they are, so that all places do.
+_RESIZED = re.compile(
+    "([" + "".join(c for c in map(chr, [*range(0xD800), *range(0xE000, 0x10000)]) if len(c.lower().encode()) != len(c.encode())) + "])"
+)
+
+
 def folded(text: str) -> bytes:
-    """Bytes in the places of the text's own; if lower case took others, only ASCII is folded."""
-    data, lower = text.encode(), text.lower().encode()
-    return (lower if len(lower) == len(data) else data).translate(_FOLD)
+    """Bytes in the places of the text's own, in lower case but for characters that would take others."""
+    if not text.isascii() and _RESIZED.search(text):
+        parts = _RESIZED.split(text)
+        parts[::2] = map(str.lower, parts[::2])
+        text = "".join(parts)
+    else:
+        text = text.lower()
+    return text.encode().translate(_FOLD)
 
 
 def grams(data: bytes) -> np.ndarray:
