@@ -257,9 +257,12 @@ def best_rows(anchors: DataFrame, data: DataFrame, cells: Cells, k: int, alike:
         return pa.table([pa.array(c.astype(np.int64)) for c in columns], names=FOUND)
 
     pieces = data.select("size", F.col("cell").alias("target"), "piece").distinct()
-    crowd = anchors.groupBy("size", "cell").agg(F.ceil(F.count("*") / BLOCK_ANCHORS).alias("blocks"))
-    anchors = anchors.join(crowd, ["size", "cell"])
-    anchors = anchors.withColumn("block", F.struct("cell", F.pmod(F.xxhash64("anchor_id"), "blocks").alias("part"))).drop("blocks")
+    # Anchors of neighbouring cells share a block, as each block builds the trees of the pieces that it visits.
+    blocks = min(-(-anchors.count() // BLOCK_ANCHORS), PIVOTS)
+    anchors = anchors.withColumn("near", F.expr(f"(cell * {blocks}) div {PIVOTS}"))
+    crowd = anchors.groupBy("size", "near").agg(F.ceil(F.count("*") / BLOCK_ANCHORS).alias("parts"))
+    part = F.pmod(F.xxhash64("anchor_id"), "parts").alias("part")
+    anchors = anchors.join(crowd, ["size", "near"]).withColumn("block", F.struct("near", part)).drop("parts", "near")
     key = ["size", "target", "piece", "block"]
 
     def visit(routed: DataFrame) -> DataFrame:

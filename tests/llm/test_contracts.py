@@ -7,7 +7,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from strataroll.llm import mixing, personal_data, queries, secret_scan, top_k
+from strataroll.llm import decontamination, mixing, personal_data, quality, queries, secret_scan, top_k
 from strataroll.llm.common import saved
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -186,3 +186,31 @@ def test_the_mix_does_not_depend_on_partitions(spark, monkeypatch):
         rows = mixing.mix_documents(docs.repartition(parts)).collect()
         results.append(sorted(map(str, rows)))
     assert results[0] == results[1] == results[2] and len(results[0]) == 230
+
+
+# --- op7 ------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("odd", ["İ", "K", "ẞ", "Kİİ", "Ⱥ", ""])
+def test_letters_that_change_their_size_hide_no_copy(spark, odd):
+    item = "Который из этих городов стоит на реке Волге и как давно он там стоит?"
+    text = f"{odd} before {odd} {item.upper()} after {odd}"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+    row = decontamination.find_benchmark(docs, items).first()
+    assert text[row.start : row.end].strip() == item.upper() and row.item_id == 7
+    assert decontamination.drop_contaminated(docs, items).count() == 0
+
+
+# --- op10 -----------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("parts", [1, 40])
+def test_partial_sums_are_those_of_all_rows(spark, parts):
+    rng = np.random.default_rng(parts)
+    x, y = rng.normal(size=(200, 3)), rng.integers(0, 2, 200).astype(float)
+    train = spark.createDataFrame([(a.tolist(), float(b)) for a, b in zip(x, y)], "features array<double>, label double")
+    square, right = quality._sums(train.repartition(parts), lambda z: z, 3)
+    assert np.allclose(square, x.T @ x) and np.allclose(right, x.T @ y)
+    square, right = quality._sums(train.filter("false"), lambda z: z, 3)
+    assert not square.any() and not right.any()
