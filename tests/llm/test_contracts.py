@@ -208,9 +208,10 @@ def test_letters_that_change_their_size_hide_no_copy(spark, odd):
 @pytest.mark.parametrize("parts", [1, 40])
 def test_partial_sums_are_those_of_all_rows(spark, parts):
     rng = np.random.default_rng(parts)
-    x, y = rng.normal(size=(200, 3)), rng.integers(0, 2, 200).astype(float)
+    width = len(quality.FEATURES)
+    x, y = rng.normal(size=(200, width)), rng.integers(0, 2, 200).astype(float)
     train = spark.createDataFrame([(a.tolist(), float(b)) for a, b in zip(x, y)], "features array<double>, label double")
-    square, right = quality._sums(train.repartition(parts), lambda z: z, 3)
+    square, right = quality._sums(train.repartition(parts), lambda z: z, width)
     assert np.allclose(square, x.T @ x) and np.allclose(right, x.T @ y)
-    square, right = quality._sums(train.filter("false"), lambda z: z, 3)
+    square, right = quality._sums(train.filter("false"), lambda z: z, width)
     assert not square.any() and not right.any()
