@@ -151,14 +151,18 @@ def merge_current(
     key: str,
     change_columns: Sequence[str],
     as_of: date,
+    *,
+    reduced: bool = False,
 ) -> DataFrame:
     """Merge a snapshot into current rows: the new current rows and the rows just closed.
 
     One full outer join shuffles each side once; every joined row then yields the one or two rows
-    it stands for. ``current`` must be tracked, current and have unique non-null keys.
+    it stands for. ``current`` must be tracked, current and have unique non-null keys. A snapshot that is
+    ``reduced`` has been through ``latest_per_key``.
     """
     columns = _merged_columns(source, current)
-    snapshot = latest_per_key(source, key, change_columns).withColumn("_in", F.lit(True))
+    latest = source if reduced else latest_per_key(source, key, change_columns)
+    snapshot = latest.withColumn("_in", F.lit(True))
     held = current.withColumn("_in", F.lit(True))
     src, tgt = snapshot.alias("src"), held.alias("tgt")
     joined = src.join(tgt, named(key, "src") == named(key, "tgt"), "full")
@@ -194,17 +198,20 @@ def merge_delta(
     key: str,
     change_columns: Sequence[str],
     as_of: date,
+    *,
+    reduced: bool = False,
 ) -> DataFrame:
     """The result of ``merge_current``, planned for a snapshot that is small beside the history.
 
     A full outer join has to shuffle the whole history. Here history rows meet only the snapshot's
     key and change columns in a left join, and snapshot rows meet only the history rows with their
     keys. Spark broadcasts the snapshot's side of both while it is under its size threshold, and
-    the history is then read without a shuffle; over the threshold both become sort-merge joins.
+    the history is then read without a shuffle; over the threshold both become sort-merge joins. The
+    snapshot is used three times, so it should be a stored one that is ``reduced``.
     """
     columns = _merged_columns(source, current)
     narrow = [key, *change_columns]
-    snapshot = latest_per_key(source, key, change_columns)
+    snapshot = source if reduced else latest_per_key(source, key, change_columns)
     signals = snapshot.select(*map(named, narrow), F.lit(True).alias("_in"))
 
     held = current.alias("tgt").join(
@@ -244,20 +251,23 @@ def scd2_merge(
     as_of: date,
     *,
     small_source: bool = False,
+    reduced: bool = False,
 ) -> DataFrame:
     """The whole history after merging a snapshot, closed rows of earlier merges included.
 
     ``target`` is the history so far, or None for the first snapshot; tracking columns it lacks
     are added. Columns only one side has are kept and null on the other. A column whose type is wider in the
     snapshot (``functions.widening``) becomes wider in the history; any other difference raises. Rows that
-    cannot change skip the join. ``small_source`` picks ``merge_delta``; the result is the same.
+    cannot change skip the join. ``small_source`` picks ``merge_delta``; the result is the same. A snapshot
+    that is ``reduced`` has been through ``latest_per_key``. A target that is itself the result of a merge should be
+    stored first: its current, closed and keyless rows are read apart.
     """
     if target is None:
-        return first_history(source, key, change_columns, as_of)
+        return start_tracking(source, as_of) if reduced else first_history(source, key, change_columns, as_of)
     history = _widened_for(heal_tracking(target, as_of), source)
     current = history.filter(F.col(IS_CURRENT) & named(key).isNotNull())
     merge = merge_delta if small_source else merge_current
-    merged = merge(source, current, key, change_columns, as_of)
+    merged = merge(source, current, key, change_columns, as_of, reduced=reduced)
     return _with_bypassing(merged, history, key)
 
 

@@ -15,6 +15,7 @@ from strataroll.functions.names import named, normalize_columns
 from strataroll.operators import drift, facts, flatten, history, quality, sketches
 from strataroll.plans import defaults
 from strataroll.sources import envelopes, ranges, versions
+from strataroll.sources.shared import scratch
 
 log = logging.getLogger(__name__)
 
@@ -84,7 +85,8 @@ def refresh_history(
     """
     for left in reversed(range(settings.attempts)):
         try:
-            version = _refresh_history(spark, raw_path, root, as_of, settings, logged_at or datetime.now())
+            with scratch(spark, "refresh") as work:
+                version = _refresh_history(spark, raw_path, root, as_of, settings, logged_at or datetime.now(), work)
             break
         except versions.Conflict:
             if not left:
@@ -96,7 +98,7 @@ def refresh_history(
 
 
 def _refresh_history(
-    spark: SparkSession, raw_path: str, root: str, as_of: date, settings: Settings, logged_at: datetime
+    spark: SparkSession, raw_path: str, root: str, as_of: date, settings: Settings, logged_at: datetime, work: str
 ) -> int:
     base = versions.latest(spark, root)
     if as_of.isoformat() < base.as_of:
@@ -109,7 +111,7 @@ def _refresh_history(
         return tables[name]
 
     if settings.layout == "rows":
-        found_docs, records = ranges.read_ranges(spark, raw_path)
+        found_docs, records = ranges.read_ranges(spark, raw_path, folder=f"{work}/ranges")
         docs = land("documents", found_docs.drop("data"))
     else:
         docs = land("documents", envelopes.read_meta(spark, raw_path, multi_line=settings.layout != "lines"))
@@ -148,12 +150,18 @@ def _refresh_history(
     land("metadata", flatten.metadata(docs))
     land("approvals", flatten.approvals(docs))
 
-    cut = merge_history(spark, root, base, business, as_of, settings, version, run)
+    cut = merge_history(spark, root, base, business, as_of, settings, version, run, work)
     tables[versions.HISTORY] = cut.pop("written")
     versions.commit(spark, root, version, as_of, tables, run=run, base=base, **cut)
     return version
 
 
+def may_be_broadcast(stored: DataFrame) -> bool:
+    """Whether Spark would broadcast a stored table by its size."""
+    size = int(stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size <= stored.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def merge_history(
     spark: SparkSession,
     root: str,
@@ -163,17 +171,32 @@ def merge_history(
     settings: Settings,
     version: int,
     run: str | None = None,
+    work: str | None = None,
 ) -> dict:
     """Merge a snapshot into the history as ``base`` has it and write the result as part of ``version``.
 
     Returns the history as ``written``, and what ``versions.commit`` must know of its buckets. With
     ``settings.buckets``, only buckets with keys of the snapshot are read and written; the first time, or
     where their number changes, all are. The list of touched buckets is no longer than their number.
+
+    A snapshot that is said to be small is reduced to a row a key once, and written under ``work``, as it is then used
+    several times. If its size forbids a broadcast after all, one full outer join is the better plan.
     """
+    small = settings.small_source and work is not None and bool(base.current)
+    if small:
+        latest = history.latest_per_key(snapshot, settings.key, settings.change_columns)
+        latest.write.parquet(f"{work}/latest")
+        snapshot = spark.read.schema(snapshot.schema).parquet(f"{work}/latest")
 
     def merged(current: DataFrame | None) -> DataFrame:
         return history.scd2_merge(
-            snapshot, current, settings.key, settings.change_columns, as_of, small_source=settings.small_source
+            snapshot,
+            current,
+            settings.key,
+            settings.change_columns,
+            as_of,
+            small_source=may_be_broadcast(snapshot) if small else settings.small_source,
+            reduced=small,
         )
 
     if not settings.buckets:

@@ -346,7 +346,9 @@ def _records(texts: DataFrame, text: Column) -> DataFrame:
     return each.filter(F.col("nth").isNotNull()).select("source_file", "record")
 
 
-def read_ranges(spark: SparkSession, path: str, broadcast_limit: int = BROADCAST_LIMIT) -> tuple[DataFrame, DataFrame]:
+def read_ranges(
+    spark: SparkSession, path: str, broadcast_limit: int = BROADCAST_LIMIT, folder: str | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Documents (``meta, data, source_file``, with ``data`` empty) and their rows (``source_file, record``).
 
     The same as ``read_envelopes`` gives, errors included, for files of any size whose lines are under 2 GB; so
@@ -354,9 +356,10 @@ def read_ranges(spark: SparkSession, path: str, broadcast_limit: int = BROADCAST
     in ``data`` that is no row, and brackets or commas that do not fit raise an error when rows or documents are
     read; so does a document with two ``data`` arrays. Files of white space hold no document.
 
-    The summaries are made when this is called, and written to the folder that the executors share.
+    The summaries are made when this is called, and written to ``folder``, by default one of those that the
+    executors share; it must stay until documents and rows are read.
     """
-    folder = shared_folder(spark, "ranges")
+    folder = folder or shared_folder(spark, "ranges")
     compose(summaries(spark, path)).write.parquet(folder)
     starts = spark.read.schema("source_file string, block bigint, state string, outside boolean").parquet(folder)
     broadcast = starts.count() * START_BYTES <= broadcast_limit

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
@@ -21,3 +23,15 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("Set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="strataroll-")
     return f"{base.rstrip('/')}/{purpose}-{uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, purpose: str) -> Iterator[str]:
+    """A new path as ``shared_folder`` gives it, deleted with all that was written there when the caller is done."""
+    path = shared_folder(spark, purpose)
+    try:
+        yield path
+    finally:
+        context = spark.sparkContext
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)

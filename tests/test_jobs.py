@@ -1,6 +1,7 @@
 """Publishing and the two jobs, run end to end on small raw files."""
 
 import json
+import os
 from dataclasses import replace
 from datetime import date, datetime
 
@@ -271,3 +272,29 @@ def test_the_landing_write_is_the_only_scan_for_fused_checks(spark, tmp_path, mo
     monkeypatch.setattr(v, "write_version", write)
     jobs.refresh_history(spark, raw(tmp_path / "r1", FIRST), str(tmp_path / "h"), date(2025, 6, 1))
     assert read == [1]  # the uniqueness check alone
+
+
+@pytest.mark.parametrize("limit, merge", [("10MB", "merge_delta"), ("100b", "merge_current")])
+def test_a_small_snapshot_is_reduced_once_and_merged_by_its_size(spark, tmp_path, monkeypatch, limit, merge):
+    root = str(tmp_path / "history")
+    jobs.refresh_history(spark, raw(tmp_path / "r1", FIRST), root, date(2025, 6, 1))
+    ranked, used, folders = [], [], []
+    for name in ("merge_delta", "merge_current"):
+        real = getattr(h, name)
+        monkeypatch.setattr(h, name, lambda *a, real=real, name=name, **k: used.append(name) or real(*a, **k))
+    rank = h.latest_per_key
+    monkeypatch.setattr(h, "latest_per_key", lambda *a: ranked.append(1) or rank(*a))
+    read = spark.read.__class__.parquet
+    monkeypatch.setattr(spark.read.__class__, "parquet", lambda self, *p: folders.extend(p) or read(self, *p))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        jobs.refresh_history(spark, raw(tmp_path / "r2", SECOND), root, date(2025, 6, 2), jobs.Settings(small_source=True))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert used == [merge] and ranked == [1]
+    assert brief(v.read_history(spark, root)) == [
+        ("a", 200, False, 1, 2), ("a", 300, True, 2, None), ("b", 200, True, 1, None), ("c", 2000, True, 1, None), ("d", 200, True, 2, None)]
+    # What was only written to be read again is gone.
+    scratch = [f for f in folders if "/refresh-" in f]
+    assert scratch and not any(os.path.exists(f.rsplit("/", 1)[0]) for f in scratch)
