@@ -31,9 +31,9 @@ FEATURES = (
 FOURIER = 256
 #: Width of the kernel in standardised statistics, and the ridge penalty a row.
 WIDTH, PENALTY = 6.0, 1e-4
-#: Partial matrices that reach the driver: 0.6 MB each, however many rows there are. Those of the partitions meet in
-#: as many tasks first.
-PARTS = 24
+#: Partial matrices that reach the driver: 0.6 MB each, however many rows there are. Tasks make one for so many rows
+#: at least; where there are more of them, they meet in PARTS tasks first.
+PARTS, PART_ROWS = 24, 250_000
 #: Bins a unit of ridge score for the calibration; scores are held to -1 to 2.
 BINS = 1000
 #: Part of the ridge score in the result, so that scores within a calibrated step keep their order.
@@ -112,7 +112,7 @@ def document_statistics(docs: DataFrame, *keep: Column, text_col: str = "text")
 
 
 def _sums(train: DataFrame, expand, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of z z' and of z y over all rows: a matrix from each partition, where its rows lie, then from each of few tasks."""
+    """Sums of z z' and of z y over all rows: a matrix from each task, where its rows lie, and of many tasks from few."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         square, right = np.zeros((width, width)), np.zeros(width)
@@ -131,9 +131,12 @@ def _sums(train: DataFrame, expand, width: int) -> tuple[np.ndarray, np.ndarray]
                 total += np.frombuffer(sums.as_buffer())
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
 
-    rows = train.select("features", "label").mapInArrow(run, "part bigint, sums binary")
+    tasks = max(PARTS, -(-train.count() // PART_ROWS))
+    sums = train.select("features", "label").coalesce(tasks).mapInArrow(run, "part bigint, sums binary")
+    if tasks > PARTS:
+        sums = sums.repartition(PARTS, "part").mapInArrow(add, "sums binary")
     total = np.zeros((width, width + 1))
-    for row in rows.repartition(PARTS, "part").mapInArrow(add, "sums binary").toLocalIterator():
+    for row in sums.select("sums").collect():
         total += np.frombuffer(row["sums"]).reshape(width, width + 1)
     return total[:, :-1], total[:, -1]
 

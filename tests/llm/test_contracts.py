@@ -205,8 +205,9 @@ def test_letters_that_change_their_size_hide_no_copy(spark, odd):
 # --- op10 -----------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("parts", [1, 40])
-def test_partial_sums_are_those_of_all_rows(spark, parts):
+@pytest.mark.parametrize("parts, part_rows", [(1, 250_000), (40, 250_000), (40, 5), (3, 5)])
+def test_partial_sums_are_those_of_all_rows(spark, monkeypatch, parts, part_rows):
+    monkeypatch.setattr(quality, "PART_ROWS", part_rows)
     rng = np.random.default_rng(parts)
     width = len(quality.FEATURES)
     x, y = rng.normal(size=(200, width)), rng.integers(0, 2, 200).astype(float)
