@@ -11,7 +11,8 @@
 4. The runs of a document are verified against its hashes and merged into maximal intervals, and
    their words are removed.
 
-Equal means equal in 64 bits of the key and 40 further bits of the window's hash.
+Equal means equal in hashes: in 64 bits of the least six-word hash and 40 of the window's own, which alone tell windows
+under one such hash apart; in 64 bits of the window's hash where it is the key. Words are not compared.
 """
 
 from __future__ import annotations
